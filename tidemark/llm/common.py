@@ -210,6 +210,11 @@ def unpack(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
+def let(x: Column, f) -> Column:
+    """f(x) with x computed once, wherever the optimiser may copy the expression to."""
+    return F.get(F.transform(F.array(x), f), 0)
+
+
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of an id as text, modulo; null ids go to remainder -1."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus, F.lit(-1))

@@ -33,8 +33,7 @@ def shingles(words: Column, size: int | Column) -> Column:
         n = F.size(w) - size + 1
         return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, size)))).otherwise(F.array().cast("array<bigint>"))
 
-    # a lambda's variable: were `words` to be inlined, it would be computed anew for each shingle
-    return F.get(F.transform(F.array(words), of), 0)
+    return C.let(words, of)
 
 
 def simhash(h: Column) -> Column:

@@ -33,27 +33,40 @@ def normalised(line: Column) -> Column:
     return F.lower(F.array_join(words_of(line), " "))
 
 
+def _statistics(text: Column) -> Column:
+    """Struct of a text's statistics. Each step is bound to a lambda's variable: an optimiser that copies expressions can't repeat it."""
+    none = F.array().cast("array<bigint>")
+
+    def covered(places):
+        """Words in the union of 8-word windows at sorted places."""
+        gaps = F.transform(places, lambda p, k: F.least(F.lit(8), F.coalesce(F.get(places, k + 1) - p, F.lit(8))))
+        return F.aggregate(gaps, F.lit(0), lambda a, x: a + x)
+
+    def met(pairs):
+        """Places of windows whose hash equals a neighbour's in the sorted list."""
+        h = lambda i: F.get(pairs, i)["h"]
+        return F.array_sort(F.array_compact(F.transform(pairs, lambda p, i: F.when((h(i - 1) == p["h"]) | (h(i + 1) == p["h"]), p["i"]))))
+
+    def repeated(hashes):
+        pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), C.let(C.let(pairs, met), covered)).otherwise(F.lit(0))
+
+    def of(w):
+        n = F.size(w)
+        windows = F.when(n >= 8, F.transform(F.sequence(F.lit(1), F.greatest(n - 7, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, 8)))).otherwise(none)
+        return F.struct(n.cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), C.let(windows, repeated).cast("long").alias("n_repeat_words"))
+
+    return C.let(words_of(text), of)
+
+
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; helper columns start with two underscores."""
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     whole = F.coalesce(F.col(text), F.lit(""))
     symbols = sum((F.octet_length(whole) - F.octet_length(F.replace(whole, F.lit(s), F.lit(""))) for s in SYMBOLS), F.lit(0))
-    out = docs.withColumn("__w", words_of(F.col(text)))
-    out = out.withColumn("__n", F.size("__w"))
-    out = out.withColumn("__h", F.when(F.col("__n") >= 8, F.transform(F.sequence(F.lit(1), F.greatest(F.col("__n") - 7, F.lit(1))), lambda i: F.xxhash64(F.slice("__w", i, 8)))).otherwise(F.array().cast("array<bigint>")))
-    pairs = F.array_sort(F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    out = out.withColumn("__p", F.when(F.size(F.array_distinct("__h")) < F.size("__h"), pairs))
-    at = lambda i: F.get(F.col("__p"), i).getField("h")
-    met = F.transform("__p", lambda p, i: F.when((at(i - 1) == p.getField("h")) | (at(i + 1) == p.getField("h")), p.getField("i")))
-    out = out.withColumn("__i", F.array_sort(F.array_compact(met)))
-    gaps = F.transform("__i", lambda p, k: F.least(F.lit(8), F.coalesce(F.get(F.col("__i"), k + 1) - p, F.lit(8))))
-    lines = F.filter(lines_of(F.col(text)), lambda x: F.size(words_of(x)) > 0)
-    return out.withColumns({
-        "n_words": F.col("__n").cast("long"),
-        "word_chars": F.length(F.array_join("__w", "")).cast("long"),
-        "n_symbols": symbols.cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-        "n_repeat_words": F.coalesce(F.aggregate(gaps, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long"),
-    }).drop("__w", "__n", "__h", "__p", "__i")
+    lines = F.filter(lines_of(F.col(text)), lambda x: x.rlike(C.WORD_PATTERN))
+    doubled = C.let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    out = docs.withColumn("__s", _statistics(F.col(text)))
+    return out.withColumns({k: F.col(f"__s.{k}") for k in ("n_words", "word_chars", "n_repeat_words")} | {"n_symbols": symbols.cast("long"), "n_dup_lines": doubled.cast("long")}).drop("__s")
 
 
 def frequent_lines(docs: DataFrame, host: str, text: str, min_docs: int, share: float) -> DataFrame:

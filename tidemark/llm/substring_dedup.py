@@ -127,6 +127,7 @@ def _known(bits: np.ndarray, h: np.ndarray, segs: int) -> np.ndarray:
 
 def confirmed_windows(docs: DataFrame, window: int, seed: int, segs: int, shards: int) -> DataFrame:
     """For each repeated window and shard, one place in that shard that repeats it: shard, doc, pos, least (packed)."""
+    groups = C.segments(docs.sparkSession, 1, 64)  # each gives a row for each shard, so there are no more than partitions ask for
     known = docs.sparkSession.sparkContext.broadcast(bytes(recurring_anchors(docs, window, seed, segs)))
 
     def emit(batches):
@@ -155,7 +156,7 @@ def confirmed_windows(docs: DataFrame, window: int, seed: int, segs: int, shards
             same = np.r_[False, (g[1:] == g[:-1]) & (shard[1:] == shard[:-1])]
             third = np.r_[np.zeros(min(2, len(g)), bool), same[2:] & same[1:-1]]
             g, g2, doc, pos, shard = (x[~third] for x in (g, g2, doc, pos, shard))
-            yield from C.packed(C.by_segment(_slots(g, segs)[0], g, g2, doc, shard, doc, pos.astype(np.int32)), _schema(_WINDOWS))
+            yield from C.packed(C.by_segment(_slots(g, groups)[0], g, g2, doc, shard, doc, pos.astype(np.int32)), _schema(_WINDOWS))
 
     def reduce(group: pa.Table) -> pa.Table:
         g, g2, doc, shard, pos = (C.unpack(group.column(c), t) for c, t in (("h", np.uint64), ("g", np.uint64), ("lo", np.int64), ("shard", np.int32), ("pos", np.int32)))

@@ -56,7 +56,7 @@ def stage_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [("quality_rules", stage_quality), ("line_dedup", stage_lines), ("simhash_dedup", stage_near), ("decontaminate", stage_benchmark), ("sentencepiece", stage_encode)]
 
-#: XXH64 fingerprints and BPE can't be stated in SQL; tests/llm holds the pipeline against a brute-force version.
+#: XXH64 fingerprints and BPE can't be stated in SQL; each stage calls an operator that tests hold against SQL or brute force.
 ORACLE_SQL = None
 
 

@@ -22,6 +22,8 @@ from tidemark.llm import common as C
 
 #: Labelled documents a language is learnt from, chosen by a hash of their text.
 SAMPLE = 2000
+#: Languages up to which their sizes are broadcast; beyond it the join is a shuffle.
+BROADCAST_LANGS = 100_000
 #: Bytes of the frozen table; contexts of order 3 fill it by falling count, all shorter ones are always in it.
 MODEL_BYTES = 48 << 20
 SYMBOLS = 128  # 0: before the text; 1 to 126: the sample's most frequent bytes; 127: any other
@@ -30,12 +32,14 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def labelled_sample(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """Up to `most` rows of each lang, by a hash of the text; first thinned by rate, so that no long group is sorted."""
+    """Up to `most` distinct texts of each lang, by their hash; first thinned by rate, so that no long group is sorted."""
     rows = docs.where("lang is not null and text is not null").withColumn("__h", F.xxhash64("text"))
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = C.staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("__n")), "language-sizes")
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_LANGS else sizes
     rate = F.least(F.lit(1.0), 2.0 * most / F.col("__n"))
     thin = rows.join(sizes, "lang").where((F.pmod("__h", F.lit(1 << 20)) < rate * (1 << 20)) | (F.col("__n") <= 2 * most))
-    order = Window.partitionBy("lang").orderBy("__h", "text")
+    thin = thin.dropDuplicates(["lang", "__h"])  # a text copied many times counts once
+    order = Window.partitionBy("lang").orderBy("__h")
     return thin.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= most).select("lang", "text")
 
 

@@ -72,7 +72,7 @@ def indicators(bars: DataFrame, rsi_period: int = 14, autocorr_lag: int = 1, aut
     rsi = F.when(F.col("__i") >= rsi_period, F.when(loss == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + gain / loss)))
     frame = by_symbol().rowsBetween(-autocorr_window, -1)
     x, y = F.when(F.col("__l").isNotNull(), c), F.when(c.isNotNull(), F.col("__l"))
-    corr = F.when(full(autocorr_window) & (F.count(x).over(frame) >= 5) & (F.var_pop(x).over(frame) > 0) & (F.var_pop(y).over(frame) > 0), F.corr(x, y).over(frame))
+    corr = F.when(full(autocorr_window) & (F.count(x).over(frame) >= 5) & (F.var_pop(x).over(frame) > 0) & (F.var_pop(y).over(frame) > 0), F.covar_pop(x, y).over(frame) / (F.stddev_pop(x).over(frame) * F.stddev_pop(y).over(frame)))  # corr() itself fails on a constant frame
     z = (c - trailing(F.avg, c, zscore_window)) / F.greatest(trailing(F.stddev_pop, c, zscore_window), F.lit(1e-8))
     low, high = trailing(F.min, c, minmax_window), trailing(F.max, c, minmax_window)
     return out.select(

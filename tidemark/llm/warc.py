@@ -70,8 +70,8 @@ def write_archive(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("strong"), pa.array([not r for r in got["revisit"]]), pa.array(out, pa.binary())], ["page_id", "strong", "stored", "head"])
 
     kinds.mapInArrow(heads, _HEADERS).write.parquet(f"{path}/headers")
-    kept = rows.select("page_id", "strong", "payload").join(owners, (rows["strong"] == owners["strong"]) & rows["page_id"].eqNullSafe(owners["owner"]), "left_semi")
-    kept.select("strong", "payload").dropDuplicates(["strong"]).write.parquet(f"{path}/payloads")
+    # rows of one digest hold equal bytes, so any of them is stored; copies met in one task are combined before the shuffle
+    rows.select("strong", "payload").dropDuplicates(["strong"]).write.parquet(f"{path}/payloads")
 
 
 def read_records(spark, path: str) -> DataFrame:

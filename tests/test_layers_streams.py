@@ -48,6 +48,11 @@ def test_feature_days_equal_the_whole_series(spark, bars, raw, tmp_path):
         assert layers.missing(spark, raw, path, "2024-01-08", "2024-01-14") == []
 
 
+def test_warmup_covers_defaults():
+    assert layers.warmup_bars("ffd_volatility_zscore", {"vol_window": 10}) >= 100 + 10 + 55
+    assert layers.warmup_bars("returns", {"periods": (1, 5)}) == 6 and layers.warmup_bars("time_of_day", {}) == 0
+
+
 def test_dataset_and_superset_lookup(spark, raw, tmp_path):
     root = f"file://{tmp_path}"
     layers.cache_dataset(spark, raw, root, SPEC, "2024-01-05", "2024-01-12", bars_per_day=1)

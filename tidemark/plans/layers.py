@@ -5,6 +5,7 @@ Layout: {root}/{layer}/{key}/date=..., key being the label and a digest of the p
 
 from __future__ import annotations
 
+import inspect
 import json
 import math
 from datetime import date, datetime, timedelta, timezone
@@ -23,13 +24,14 @@ RECURSIVE = {"ema", "garch", "bollinger", "volume"}
 
 
 def warmup_bars(label: str, params: dict) -> int:
-    """Bars before a row that its value depends on; for features with bounded frames."""
-    longest = max([int(x) for v in params.values() for x in (v if isinstance(v, (list, tuple)) else [v]) if isinstance(x, int) and not isinstance(x, bool)], default=0)
-    defaults = {"returns": 120, "volatility": 61, "indicators": 21, "btc_features": 120, "ffd_zscore": 100, "ffd_volatility_zscore": 121, "market_regime": 2 * 4320 + 1, "time_of_day": 0}
-    need = max(longest + 1, 0 if longest else defaults.get(label, 0))
+    """A bound of the bars before a row that its value depends on, for features with bounded frames: frames of all parameters, defaults included, in a chain."""
+    fn = registry.FEATURES[label]
+    given = {k: v.default for k, v in inspect.signature(fn).parameters.items() if v.default is not v.empty} | params
+    spans = [max([x for x in (v if isinstance(v, (list, tuple)) else [v]) if isinstance(x, int) and not isinstance(x, bool)], default=0) for v in given.values()]
+    need = sum(spans) + 1 if any(spans) else 0
     if label.startswith("ffd"):
-        need += len(ffd_weights()) + params.get("vol_window", 20)
-    return 2 * need if label == "market_regime" and longest else need
+        need += len(ffd_weights(given.get("d", 0.4), given.get("threshold", 1e-3)))
+    return 2 * need if label == "market_regime" else need  # volatility over a frame of volatilities
 
 
 def key_of(label: str, params: dict) -> str:

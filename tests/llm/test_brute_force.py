@@ -6,10 +6,12 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 import xxhash
 
 import corpus_pipeline
+from tidemark.llm import common as C
 from tidemark.llm import language_id, lm_score, queries, simhash_dedup
 from tidemark.llm.common import table
 
@@ -52,6 +54,17 @@ def test_lm_base_and_gain(spark):
     assert sum(r.score for r in known) > sum(r.base_score for r in known)
 
 
+def test_lm_slice_grows_with_its_members():
+    """At any number of members the error rate is that of MEMBER_BITS, and nothing is lost."""
+    for n in (1 << 16, 1 << 20):
+        h = C.fnv_free_mix(np.arange(2 * n, dtype=np.uint64))
+        level = 1 + np.arange(n) % 2
+        found = lm_score.Slice(h[:n], level, 64)
+        assert len(found.bits) == lm_score.MEMBER_BITS * level.sum()
+        assert (found.levels(h[:n]) >= level).all()
+        assert (found.levels(h[n:]) > 0).mean() < 0.01
+
+
 def test_language_accuracy(spark):
     docs = table(spark, SF, "documents")
     held = language_id.op2_language_id(docs).join(docs.select("doc_id", "lang", "n_chars"), "doc_id").where("held_out and n_chars > 30").collect()

@@ -1,21 +1,20 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Token and token-pair counts of the training documents are gathered by hash segment. A count c enters the filter as its quantised
-level 1 + floor(log2 c): the pair (n-gram, j) is a member for each j up to the level, and is read back by probing j = 1, 2, ... until
-a probe fails. The filter has FILTER_BITS bits at any input size and is broadcast. A false positive lifts a level by one or more at
-the filter's error rate; nothing is ever lost. Pairs seen once are left to the smoothing.
+Documents are dealt into steps of about a megabyte. Each step sends its distinct tokens and token pairs, with their counts in training
+documents, to hash segments. A segment sums them and builds its slice of the filter: a count c enters as its quantised level
+1 + floor(log2 c), the pair (n-gram, j) being a member for each j up to the level, read back by probing j = 1, 2, ... until a probe
+fails. A slice has MEMBER_BITS for each member it holds, FILTER_BITS over all slices at least, so that the error rate doesn't rise with
+the corpus. It is probed where it lies: the segment answers each step with the levels of its n-grams and the exact counts of its
+tokens. A false positive lifts a level by one or more at the filter's error rate; nothing is ever lost.
 
 score: sum over tokens of log10 of WEIGHT * c(previous, token) / c(previous) + (1 - WEIGHT) * (c(token) + 0.5) / (N + 0.5 (V + 1)),
 with counts as the filter tells them; the previous token of the first is the end of a text.
 
-The base score needs exact counts: tokens counted often (at most HEAD of them) are broadcast, the others' places are sent to
-the segment that holds their counts, and partial sums come back by document. Tokens are told apart by 128 bits.
+The base score takes the exact counts. Tokens are told apart by 128 bits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,15 +23,20 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
 
-#: Bits of the filter: 32 MB.
-FILTER_BITS = 1 << 28
-HEAD = 1 << 18
+#: Bits of the filter for each member; and of all slices together at least, 32 MB.
+MEMBER_BITS, FILTER_BITS = 16, 1 << 28
 PROBES, PAIR_LEAST, WEIGHT = 3, 2, 0.6
 
 _END = (np.uint64(0x1B873593CC9E2D51), np.uint64(0x9AE16A3B2F90404F))
-_COUNTS = pa.schema([("seg", pa.int32()), ("h", pa.binary()), ("g", pa.binary()), ("n", pa.binary()), ("ph", pa.binary()), ("pn", pa.binary())])
-_MODEL = "seg int, h binary, g binary, n binary, bits binary, tokens long, kinds long, levels binary"
-_ROWS = "seg int, uid binary, h binary, g binary, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, doc_uid long"
+_ASKED = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("n", pa.binary()), ("ph", pa.binary()), ("pn", pa.binary())])
+_TOTALS = ("tokens", "kinds", "members", "bits", "absent", "lifted")
+_TOLD = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("counts", pa.binary()), ("levels", pa.binary()), ("pair_levels", pa.binary()), *((c, pa.int64()) for c in _TOTALS)])
+_SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+
+
+def _ddl(schema: pa.Schema) -> str:
+    names = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary", pa.bool_(): "boolean", pa.float64(): "double"}
+    return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
 def _tokens(words: C.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,53 +60,56 @@ def _pairs(t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return C.fnv_free_mix(before * C.MULT + (t ^ C.MIX1)), before
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, C.Words]]:
-    data, off = C.utf8(batch.column("text"))
-    for a, b in C.steps(off):
-        yield a, b, C.Words(data[off[a] : off[b]], off[a : b + 1] - off[a], lower=True)
-
-
 def _seg(h: np.ndarray, segs: int) -> np.ndarray:
     return (h >> np.uint64(64 - (segs.bit_length() - 1))).astype(np.int32)
 
 
-def _summed(*keys_and_count: np.ndarray) -> list[np.ndarray]:
-    *keys, n = keys_and_count
-    order = np.lexsort(keys[::-1])
-    keys, n = [k[order] for k in keys], n[order]
-    new = np.zeros(len(n), bool)
-    new[:1] = True
+def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key is first met, by rising key, and the rank of each row's key."""
+    order = np.argsort(keys[0], kind="stable")
+    same = keys[0][order][1:] == keys[0][order][:-1]
+    if any((k[order][1:] != k[order][:-1])[same].any() for k in keys[1:]):  # equal first hashes
+        order = np.lexsort(keys[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = False
     for k in keys:
-        new[1:] |= k[1:] != k[:-1]
-    first = np.flatnonzero(new)
-    return [*(k[first] for k in keys), np.add.reduceat(n, first) if len(first) else n]
+        new[1:] |= k[order][1:] != k[order][:-1]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return order[new], rank
 
 
 def _places(h: np.ndarray, level: int, width: int) -> list[np.ndarray]:
-    """The bits of (n-gram, level) within its segment's slice."""
+    """The bits of (n-gram, level) within its segment's slice, of any width."""
     x = C.fnv_free_mix(h + np.uint64((level * int(C.MULT)) & (2**64 - 1)))
-    return [((x >> np.uint64(21 * i)) & np.uint64(0x1FFFFF)).astype(np.int64) % width for i in range(PROBES)]
+    y = C.fnv_free_mix(x ^ C.MIX1) | np.uint64(1)
+    return [((x + np.uint64(i) * y) % np.uint64(width)).astype(np.int64) for i in range(PROBES)]
 
 
 def _levels(n: np.ndarray) -> np.ndarray:
     return np.frexp(n.astype(np.float64))[1]  # 1 + floor(log2 n)
 
 
-class Filter:
-    """Reader of the filter's bits."""
+class Slice:
+    """A segment's slice of the filter."""
 
-    def __init__(self, bits: bytes, segs: int):
-        self.bits, self.segs, self.width = np.frombuffer(bits, np.uint8), segs, FILTER_BITS // segs
+    def __init__(self, h: np.ndarray, level: np.ndarray, least: int):
+        self.members = int(level.sum())
+        self.bits = np.zeros(max(64, least, MEMBER_BITS * self.members), bool)
+        at = 1
+        while len(h):
+            for place in _places(h, at, len(self.bits)):
+                self.bits[place] = True
+            h, level = h[level > at], level[level > at]
+            at += 1
 
     def levels(self, h: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(h), np.int64)
+        out = np.zeros(len(h), np.uint8)
         at = np.arange(len(h))
-        base = _seg(h, self.segs).astype(np.int64) * self.width
-        for level in range(1, 50):
+        for level in range(1, 64):
             good = np.ones(len(at), bool)
-            for place in _places(h[at], level, self.width):
-                bit = base[at] + place
-                good &= (self.bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+            for place in _places(h[at], level, len(self.bits)):
+                good &= self.bits[place]
             at = at[good]
             if not len(at):
                 break
@@ -112,73 +119,88 @@ class Filter:
 
 def _middle(level: np.ndarray) -> np.ndarray:
     """The mean count of a level; 0 for none."""
-    return np.where(level > 0, 1.5 * np.exp2(np.maximum(level, 1) - 1) - 0.5, 0.0)
+    return np.where(level > 0, 1.5 * np.exp2(np.maximum(level, 1) - 1.0) - 0.5, 0.0)
 
 
-def gather(docs: DataFrame, segs: int) -> DataFrame:
-    """Counts of training rows (text), by segment: token counts, the segment's slice of the filter, totals, counts of levels."""
-    width = FILTER_BITS // segs
+def deal(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, held_out) with the step of each row."""
 
-    def emit(batches):
+    def number(batches):
+        step = TaskContext.get().partitionId() << 36
         for batch in batches:
-            singles, doubles = [], []
-            for _, _, words in _parts(batch):
-                t, g, first = _tokens(words)
-                singles.append(_summed(t, g, np.ones(len(t), np.int64)))
-                pair, _ = _pairs(t, first)
-                doubles.append(_summed(pair, np.ones(len(t), np.int64)))
-            if not singles:
-                continue
-            h, g, n = _summed(*(np.concatenate(x) for x in zip(*singles, strict=True)))
-            ph, pn = _summed(*(np.concatenate(x) for x in zip(*doubles, strict=True)))
-            one = {s: x for s, *x in C.by_segment(_seg(h, segs), h, g, n.astype(np.int32))}
-            two = {s: x for s, *x in C.by_segment(_seg(ph, segs), ph, pn.astype(np.int32))}
-            none3, none2 = (b"", b"", b""), (b"", b"")
-            yield from C.packed(((s, *one.get(s, none3), *two.get(s, none2)) for s in sorted({*one, *two})), _COUNTS)
+            _, off = C.utf8(batch.column("text"))
+            of = np.zeros(batch.num_rows, np.int64)
+            for a, b in C.steps(off):
+                of[a:b] = step
+                step += 1
+            yield pa.RecordBatch.from_arrays([pa.array(of), *(batch.column(c) for c in ("doc_id", "held_out", "text"))], ["step", "doc_id", "held_out", "text"])
 
-    def reduce(group: pa.Table) -> pa.Table:
-        h, g, n = _summed(*(C.unpack(group.column(c), k) for c, k in (("h", np.uint64), ("g", np.uint64))), C.unpack(group.column("n"), np.int32).astype(np.int64))
-        ph, pn = _summed(C.unpack(group.column("ph"), np.uint64), C.unpack(group.column("pn"), np.int32).astype(np.int64))
-        ph, pn = ph[pn >= PAIR_LEAST], pn[pn >= PAIR_LEAST]
-        bits = np.zeros(width, bool)
-        for key, count in ((h, _levels(n)), (ph, _levels(pn))):
-            level = 1
-            while len(key):
-                for place in _places(key, level, width):
-                    bits[place] = True
-                key, count = key[count > level], count[count > level]
-                level += 1
-        kinds = np.bincount(_levels(n), minlength=64).astype(np.int64)
-        row = [group.column("seg")[0].as_py(), h.tobytes(), g.tobytes(), n.tobytes(), np.packbits(bits, bitorder="little").tobytes(), int(n.sum()), len(n), kinds.tobytes()]
-        types = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
-        return pa.table([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=["seg", "h", "g", "n", "bits", "tokens", "kinds", "levels"])
-
-    return docs.mapInArrow(emit, "seg int, h binary, g binary, n binary, ph binary, pn binary").groupBy("seg").applyInArrow(reduce, _MODEL)
-
-
-def _head(model: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Tokens of the levels whose kinds together are at most HEAD, sorted by hash; and the least count among them, as a power of two."""
-    kinds = np.zeros(64, np.int64)
-    for (levels,) in model.select("levels").toLocalIterator():  # 512 bytes for each segment
-        kinds += np.frombuffer(levels, np.int64)
-    level = 63
-    while level > 1 and kinds[level - 1 :].sum() <= HEAD:
-        level -= 1
-    least = 1 << (level - 1)
-
-    def often(batches):
+    return docs.mapInArrow(number, "step long, doc_id long, held_out boolean, text string")
+
+
+def ask(dealt: DataFrame, segs: int) -> DataFrame:
+    """Each step's distinct tokens and pairs with their training counts, by segment; a step read in parts asks in parts."""
+
+    def emit(batches):
         for batch in batches:
-            cut = []
-            for h, g, n in zip(*(batch.column(c).to_pylist() for c in ("h", "g", "n")), strict=True):
-                n = np.frombuffer(n, np.int64)
-                keep = n >= least
-                cut.append((np.frombuffer(h, np.uint64)[keep].tobytes(), np.frombuffer(g, np.uint64)[keep].tobytes(), n[keep].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*cut, strict=True)] if cut else [pa.array([], pa.binary())] * 3, ["h", "g", "n"])
+            data, off = C.utf8(batch.column("text"))
+            steps, learnt = batch.column("step").to_numpy(), ~np.array(batch.column("held_out").to_pylist(), bool)
+            cuts = np.flatnonzero(np.diff(steps, prepend=-1)) if len(steps) else []
+
+            def rows():
+                for a, b in zip(cuts, [*cuts[1:], len(steps)], strict=True):
+                    words = C.Words(data[off[a] : off[b]], off[a : b + 1] - off[a], lower=True)
+                    t, g, first = _tokens(words)
+                    weight = np.repeat(learnt[a:b], np.diff(first))
+                    pair, _ = _pairs(t, first)
+                    at, rank = _distinct(t, g)
+                    one = {s: x for s, *x in C.by_segment(_seg(t[at], segs), t[at], g[at], np.bincount(rank, weight).astype(np.int32))}
+                    p_at, rank = _distinct(pair)
+                    two = {s: x for s, *x in C.by_segment(_seg(pair[p_at], segs), pair[p_at], np.bincount(rank, weight).astype(np.int32))}
+                    for s in sorted({*one, *two}):
+                        yield s, int(steps[a]), *one.get(s, (b"", b"", b"")), *two.get(s, (b"", b""))
+
+            yield from C.packed(rows(), _ASKED)
 
-    rows = model.select("h", "g", "n").mapInArrow(often, "h binary, g binary, n binary").toArrow()  # HEAD tokens at most
-    h, g, n = (C.unpack(rows.column(c), k) for c, k in (("h", np.uint64), ("g", np.uint64), ("n", np.int64)))
-    order = np.lexsort((g, h))
-    return h[order], g[order], n[order], least
+    return dealt.mapInArrow(emit, _ddl(_ASKED))
+
+
+def answer(asked: DataFrame, segs: int) -> DataFrame:
+    """For each segment and step the counts of its tokens and the levels of its n-grams, by rising hash; and for each segment a row of
+    totals: tokens, kinds, members and bits of its slice, n-grams asked for but not held, and those of them the filter lifts."""
+
+    def reduce(group: pa.Table) -> pa.Table:
+        seg, steps = group.column("seg")[0].as_py(), group.column("step").to_numpy()
+        column = lambda c, kind: (C.unpack(group.column(c), kind), np.repeat(steps, [len(x) // np.dtype(kind).itemsize for x in group.column(c).to_pylist()]))
+        (h, of), (ph, p_of) = column("h", np.uint64), column("ph", np.uint64)
+        g, n, pn = C.unpack(group.column("g"), np.uint64), C.unpack(group.column("n"), np.int32), C.unpack(group.column("pn"), np.int32)
+        at, rank = _distinct(h, g)
+        count, kind = np.bincount(rank, n, len(at)).astype(np.int64), h[at]
+        p_at, p_rank = _distinct(ph)
+        p_count, p_kind = np.bincount(p_rank, pn, len(p_at)).astype(np.int64), ph[p_at]
+        held, p_held = count > 0, p_count >= PAIR_LEAST
+        found = Slice(np.concatenate([kind[held], p_kind[p_held]]), _levels(np.concatenate([count[held], p_count[p_held]])), FILTER_BITS // segs)
+        level, p_level = found.levels(kind), found.levels(p_kind)
+        totals = (count.sum(), held.sum(), found.members, len(found.bits), (~held).sum() + (~p_held).sum(), (level[~held] > 0).sum() + (p_level[~p_held] > 0).sum())
+        out = [(seg, None, None, None, None, *map(int, totals))]
+
+        def by_step(of, rank):
+            """Ranks asked for by each step, rising, each once."""
+            key = np.lexsort((rank, of))
+            of, rank = of[key], rank[key]
+            new = np.ones(len(key), bool)
+            new[1:] = (of[1:] != of[:-1]) | (rank[1:] != rank[:-1])
+            of, rank = of[new], rank[new]
+            cuts = np.flatnonzero(np.diff(of)) + 1
+            return {int(of[a]): rank[a:b] for a, b in zip([0, *cuts], [*cuts, len(of)], strict=True) if b > a}
+
+        one, two, none = by_step(of, rank), by_step(p_of, p_rank), np.zeros(0, np.int64)
+        for s in {*one, *two}:
+            x, y = one.get(s, none), two.get(s, none)
+            out.append((seg, s, count[x].tobytes(), level[x].tobytes(), p_level[y].tobytes(), *[None] * len(_TOTALS)))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TOLD.types, strict=True)], schema=_TOLD)
+
+    return asked.groupBy("seg").applyInArrow(reduce, _ddl(_TOLD))
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -191,85 +213,35 @@ def score_texts(docs: DataFrame) -> DataFrame:
     C.small_batches(spark)
     segs = C.segments(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out")
-    model = C.staged(gather(rows.where(~F.col("held_out")).select("text"), segs), "lm-counts")
-    total, kinds = (int(x or 0) for x in model.agg(F.sum("tokens"), F.sum("kinds")).first())
+    dealt = C.staged(deal(rows), "lm-steps")  # the steps' numbers stay
+    told = C.staged(answer(ask(dealt, segs), segs), "lm-answers")
+    total, kinds = (int(x or 0) for x in told.agg(F.sum("tokens"), F.sum("kinds")).first())
     bottom = total + 0.5 * (kinds + 1)
-    width = FILTER_BITS // segs // 8
-    filled = bytearray(width * segs)
-    for seg, bits in model.select("seg", "bits").toLocalIterator():  # FILTER_BITS in all
-        filled[seg * width : (seg + 1) * width] = bits
-    shared = spark.sparkContext.broadcast((bytes(filled), _head(model)))
-    names = [x.split()[0] for x in _ROWS.split(", ")]
-    kinds_of = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
 
-    def emit(batches):
-        bits, (hh, hg, hn, _) = shared.value
-        known = Filter(bits, segs)
-        uid = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            ids, held = batch.column("doc_id").to_pylist(), batch.column("held_out").to_pylist()
-            tail, out = [], []
-            for a, b, words in _parts(batch):
-                t, g, first = _tokens(words)
-                n, docs_of = len(t), np.repeat(np.arange(b - a), np.diff(first))
-                kind, back = np.unique(t, return_inverse=True)
-                # the filter's view
-                single = _middle(known.levels(kind))
-                pair, before = _pairs(t, first)
-                double = _middle(known.levels(pair))
-                c = single[back]
-                c_before = np.empty(n)
-                c_before[1:] = c[:-1]
-                c_before[first[:-1]] = _middle(known.levels(np.array([_END[0]])))[0]
-                low = (c + 0.5) / bottom
-                p = np.where(c_before > 0, WEIGHT * np.minimum(1.0, double / np.maximum(c_before, 1)) + (1 - WEIGHT) * low, low)
-                score = np.bincount(docs_of, np.log10(np.minimum(p, 1.0)), b - a)
-                # exact counts of frequent tokens here, the others by segment
-                at = np.minimum(np.searchsorted(hh, kind), max(0, len(hh) - 1))
-                found = hh[at] == kind if len(hh) else np.zeros(len(kind), bool)
-                frequent = found[back]
-                frequent[frequent] = hg[at[back[frequent]]] == g[frequent]
-                logs = np.log10(((hn[at] if len(hh) else np.zeros(len(kind))) + 0.5) / bottom)
-                base = np.bincount(docs_of[frequent], logs[back[frequent]], b - a)
-                some = np.bincount(docs_of[frequent], minlength=b - a)
-                rare = ~frequent
-                tail.append((t[rare], g[rare], uid + docs_of[rare]))
-                size = np.diff(first)
-                for i in range(b - a):
-                    out.append((-1, None, None, None, ids[a + i], held[a + i], int(size[i]), int(some[i]), float(base[i]), float(score[i]), uid + i))
-                uid += b - a
-            h, g, u = (np.concatenate(x) for x in zip(*tail, strict=True)) if tail else [np.zeros(0, np.uint64)] * 3
-            if len(h):
-                out += [(s, *x[::-1][:1], *x[:2], *[None] * 7) for s, *x in C.by_segment(_seg(h, segs), h, g, u.astype(np.int64))]
-            for k in range(0, len(out), 4096):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[k : k + 4096], strict=True), kinds_of, strict=True)], names)
-
-    passed = C.staged(rows.mapInArrow(emit, _ROWS), "lm-rows")
-
-    def rest(left: pa.Table, right: pa.Table) -> pa.Table:
-        h, g, u = (C.unpack(left.column(c), k) for c, k in (("h", np.uint64), ("g", np.uint64), ("uid", np.int64)))
-        kh, kg, kn = (C.unpack(right.column(c), k) for c, k in (("h", np.uint64), ("g", np.uint64), ("n", np.int64)))
-        n = np.zeros(len(h), np.int64)
-        at = np.searchsorted(kh, h)
-        open_ = np.flatnonzero(at < len(kh))
-        while len(open_):  # equal first hashes, should there be any, are walked
-            open_ = open_[kh[at[open_]] == h[open_]]
-            good = kg[at[open_]] == g[open_]
-            n[open_[good]] = kn[at[open_[good]]]
-            open_ = open_[~good]
-            at[open_] += 1
-            open_ = open_[at[open_] < len(kh)]
-        ids, back = np.unique(u, return_inverse=True)
-        return pa.table({"doc_uid": pa.array(ids, pa.int64()), "more": np.bincount(back, np.log10((n + 0.5) / bottom), len(ids)), "known": np.bincount(back, n > 0, len(ids)).astype(np.int64)})
-
-    lists = passed.where("seg >= 0").select("seg", "uid", "h", "g")
-    parts = lists.groupBy("seg").cogroup(model.select("seg", "h", "g", "n").groupBy("seg")).applyInArrow(rest, "doc_uid long, more double, known long")
-    sums = parts.groupBy("doc_uid").agg(F.sum("more").alias("more"), F.sum("known").alias("known"))
-    own = passed.where("seg < 0").select("doc_uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
-    return own.join(sums, "doc_uid", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score",
-    )
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        data, off = C.utf8(left.column("text"))
+        t, g, first = _tokens(C.Words(data, off, lower=True))
+        n, of = len(off) - 1, np.repeat(np.arange(len(off) - 1), np.diff(first))
+        right = right.sort_by("seg")  # a segment is the hash's first bits: answers end to end lie by rising hash
+        at, back = _distinct(t, g)
+        pair, before = _pairs(t, first)
+        _, p_back = _distinct(pair)
+        count = C.unpack(right.column("counts"), np.int64)[back]
+        single = _middle(C.unpack(right.column("levels"), np.uint8).astype(np.int64))
+        double = _middle(C.unpack(right.column("pair_levels"), np.uint8).astype(np.int64))[p_back]
+        c = single[back]
+        c_before = np.empty(len(t))
+        c_before[1:] = c[:-1]
+        c_before[first[:-1]] = c[first[1:] - 1]  # each text's last token is an end
+        low = (c + 0.5) / bottom
+        p = np.where(c_before > 0, WEIGHT * np.minimum(1.0, double / np.maximum(c_before, 1)) + (1 - WEIGHT) * low, low)
+        sums = lambda x: np.bincount(of, x, n)
+        found = (np.diff(first), sums(count > 0).astype(np.int64), sums(np.log10((count + 0.5) / bottom)), sums(np.log10(np.minimum(p, 1.0))))
+        return pa.table([left.column("doc_id"), left.column("held_out"), *map(pa.array, found)], schema=_SCORED)
+
+    answers = told.where("step is not null").select("seg", "step", "counts", "levels", "pair_levels")
+    out = dealt.groupBy("step").cogroup(answers.groupBy("step")).applyInArrow(score, _ddl(_SCORED))
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op7_lm_score(docs: DataFrame) -> DataFrame:

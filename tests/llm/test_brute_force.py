@@ -65,6 +65,28 @@ def test_lm_slice_grows_with_its_members():
         assert (found.levels(h[n:]) > 0).mean() < 0.01
 
 
+def test_lm_score_against_exact_counts(spark):
+    """score equals that of exact counts brought to the middle of their levels, and is within the quantisation error of the counts themselves."""
+    rows = [(r.doc_id, [None, *words(r.text), None]) for r in table(spark, SF, "documents").collect()]
+    learnt = [t for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1]
+    ones = collections.Counter(w for t in learnt for w in t[1:])
+    twos = collections.Counter(p for t in learnt for p in zip(t, t[1:]))
+    n, v = ones.total(), len(ones)
+    middle = lambda c: 1.5 * 2 ** (c.bit_length() - 1) - 0.5 if c else 0.0
+
+    def logs(t, of):
+        for p, w in zip(t, t[1:]):
+            low = (of(ones[w]) + 0.5) / (n + 0.5 * (v + 1))
+            yield math.log10(min(1.0, lm_score.WEIGHT * min(1.0, of(twos[p, w]) / of(ones[p])) + (1 - lm_score.WEIGHT) * low if ones[p] else low))
+
+    got = {r.doc_id: r.score for r in lm_score.op7_lm_score(table(spark, SF, "documents")).collect()}
+    same = [got[d] == pytest.approx(sum(logs(t, middle)), rel=1e-9) for d, t in rows]
+    assert sum(same) >= 0.99 * len(same)  # a false positive of the filter lifts a few
+    for d, t in rows:
+        exact = list(logs(t, lambda c: c))
+        assert abs(got[d] - sum(exact)) <= math.log10(3) * len(exact)  # a ratio of two levels is within a factor of 3
+
+
 def test_language_accuracy(spark):
     docs = table(spark, SF, "documents")
     held = language_id.op2_language_id(docs).join(docs.select("doc_id", "lang", "n_chars"), "doc_id").where("held_out and n_chars > 30").collect()

@@ -1,6 +1,6 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Documents are dealt into steps of about a megabyte. Each step sends its distinct tokens and token pairs, with their counts in training
+Documents are dealt into steps of about four megabytes. Each step sends its distinct tokens and token pairs, with their counts in training
 documents, to hash segments. A segment sums them and builds its slice of the filter: a count c enters as its quantised level
 1 + floor(log2 c), the pair (n-gram, j) being a member for each j up to the level, read back by probing j = 1, 2, ... until a probe
 fails. A slice has MEMBER_BITS for each member it holds, FILTER_BITS over all slices at least, so that the error rate doesn't rise with
@@ -10,11 +10,13 @@ tokens. A false positive lifts a level by one or more at the filter's error rate
 score: sum over tokens of log10 of WEIGHT * c(previous, token) / c(previous) + (1 - WEIGHT) * (c(token) + 0.5) / (N + 0.5 (V + 1)),
 with counts as the filter tells them; the previous token of the first is the end of a text.
 
-The base score takes the exact counts. Tokens are told apart by 128 bits.
+The base score takes the exact counts. Tokens are told apart by 96 bits, pairs by 48, of which a segment is sent the lower 40.
 """
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,9 +27,12 @@ from tidemark.llm import common as C
 
 #: Bits of the filter for each member; and of all slices together at least, 32 MB.
 MEMBER_BITS, FILTER_BITS = 16, 1 << 28
-PROBES, PAIR_LEAST, WEIGHT = 3, 2, 0.6
+PROBES, WEIGHT = 3, 0.6
 
 _END = (np.uint64(0x1B873593CC9E2D51), np.uint64(0x9AE16A3B2F90404F))
+#: Text bytes of a step.
+STEP_BYTES = 4 << 20
+
 _ASKED = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("n", pa.binary()), ("ph", pa.binary()), ("pn", pa.binary())])
 _TOTALS = ("tokens", "kinds", "members", "bits", "absent", "lifted")
 _TOLD = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("counts", pa.binary()), ("levels", pa.binary()), ("pair_levels", pa.binary()), *((c, pa.int64()) for c in _TOTALS)])
@@ -40,7 +45,7 @@ def _ddl(schema: pa.Schema) -> str:
 
 
 def _tokens(words: C.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Both hashes of all tokens, each text's words and then its end; and the first token of each text."""
+    """Both hashes of all tokens (64 and 32 bits), each text's words and then its end; and the first token of each text."""
     n, docs = len(words.start), len(words.first) - 1
     at = np.arange(n) + words.doc
     first = words.first + np.arange(docs + 1)
@@ -49,21 +54,33 @@ def _tokens(words: C.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         t = np.full(n + docs, _END[which], np.uint64)
         t[at] = words.hashes(which)
         out.append(t)
-    return out[0], out[1], first
+    return out[0], (out[1] >> np.uint64(32)).astype(np.uint32), first
 
 
 def _pairs(t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of (previous token, token) at each token, and the previous token."""
+    """Hash of (previous token, token) at each token, its lower 16 bits clear, and the previous token."""
     before = np.empty_like(t)
     before[1:] = t[:-1]
     before[first[:-1]] = _END[0]
-    return C.fnv_free_mix(before * C.MULT + (t ^ C.MIX1)), before
+    return C.fnv_free_mix(before * C.MULT + (t ^ C.MIX1)) & ~np.uint64(0xFFFF), before
 
 
 def _seg(h: np.ndarray, segs: int) -> np.ndarray:
     return (h >> np.uint64(64 - (segs.bit_length() - 1))).astype(np.int32)
 
 
+def _short(h: np.ndarray) -> np.ndarray:
+    """Bytes 2 to 6 of pair hashes, one row each; the segment, of 512 at least, tells the rest."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:7]
+
+
+def _long(short: np.ndarray, seg: int, segs: int) -> np.ndarray:
+    full = np.zeros((len(short) // 5, 8), np.uint8)
+    full[:, 2:7] = short.reshape(-1, 5)
+    bits = 64 - (segs.bit_length() - 1)
+    return (full.reshape(-1).view("<u8") & np.uint64((1 << bits) - 1)) | np.uint64(seg << bits)
+
+
 def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each distinct key is first met, by rising key, and the rank of each row's key."""
     order = np.argsort(keys[0], kind="stable")
@@ -130,7 +147,7 @@ def deal(docs: DataFrame) -> DataFrame:
         for batch in batches:
             _, off = C.utf8(batch.column("text"))
             of = np.zeros(batch.num_rows, np.int64)
-            for a, b in C.steps(off):
+            for a, b in C.steps(off, STEP_BYTES):
                 of[a:b] = step
                 step += 1
             yield pa.RecordBatch.from_arrays([pa.array(of), *(batch.column(c) for c in ("doc_id", "held_out", "text"))], ["step", "doc_id", "held_out", "text"])
@@ -156,7 +173,7 @@ def ask(dealt: DataFrame, segs: int) -> DataFrame:
                     at, rank = _distinct(t, g)
                     one = {s: x for s, *x in C.by_segment(_seg(t[at], segs), t[at], g[at], np.bincount(rank, weight).astype(np.int32))}
                     p_at, rank = _distinct(pair)
-                    two = {s: x for s, *x in C.by_segment(_seg(pair[p_at], segs), pair[p_at], np.bincount(rank, weight).astype(np.int32))}
+                    two = {s: x for s, *x in C.by_segment(_seg(pair[p_at], segs), _short(pair[p_at]), np.bincount(rank, weight).astype(np.int32))}
                     for s in sorted({*one, *two}):
                         yield s, int(steps[a]), *one.get(s, (b"", b"", b"")), *two.get(s, (b"", b""))
 
@@ -172,13 +189,14 @@ def answer(asked: DataFrame, segs: int) -> DataFrame:
     def reduce(group: pa.Table) -> pa.Table:
         seg, steps = group.column("seg")[0].as_py(), group.column("step").to_numpy()
         column = lambda c, kind: (C.unpack(group.column(c), kind), np.repeat(steps, [len(x) // np.dtype(kind).itemsize for x in group.column(c).to_pylist()]))
-        (h, of), (ph, p_of) = column("h", np.uint64), column("ph", np.uint64)
-        g, n, pn = C.unpack(group.column("g"), np.uint64), C.unpack(group.column("n"), np.int32), C.unpack(group.column("pn"), np.int32)
+        (h, of), (pn, p_of) = column("h", np.uint64), column("pn", np.int32)
+        ph = _long(C.unpack(group.column("ph"), np.uint8), seg, segs)
+        g, n = C.unpack(group.column("g"), np.uint32), C.unpack(group.column("n"), np.int32)
         at, rank = _distinct(h, g)
         count, kind = np.bincount(rank, n, len(at)).astype(np.int64), h[at]
         p_at, p_rank = _distinct(ph)
         p_count, p_kind = np.bincount(p_rank, pn, len(p_at)).astype(np.int64), ph[p_at]
-        held, p_held = count > 0, p_count >= PAIR_LEAST
+        held, p_held = count > 0, p_count > 0
         found = Slice(np.concatenate([kind[held], p_kind[p_held]]), _levels(np.concatenate([count[held], p_count[p_held]])), FILTER_BITS // segs)
         level, p_level = found.levels(kind), found.levels(p_kind)
         totals = (count.sum(), held.sum(), found.members, len(found.bits), (~held).sum() + (~p_held).sum(), (level[~held] > 0).sum() + (p_level[~p_held] > 0).sum())
@@ -215,6 +233,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out")
     dealt = C.staged(deal(rows), "lm-steps")  # the steps' numbers stay
     told = C.staged(answer(ask(dealt, segs), segs), "lm-answers")
+    gc.collect()
+    spark._jvm.System.gc()  # the questions' shuffle files go before the next shuffle
     total, kinds = (int(x or 0) for x in told.agg(F.sum("tokens"), F.sum("kinds")).first())
     bottom = total + 0.5 * (kinds + 1)
 

@@ -48,6 +48,16 @@ def test_feature_days_equal_the_whole_series(spark, bars, raw, tmp_path):
         assert layers.missing(spark, raw, path, "2024-01-08", "2024-01-14") == []
 
 
+def test_default_reach_counts_bars(spark, bars, raw, tmp_path):
+    """Hourly bars, far fewer than 390 a day: warm-up and look-ahead by default equal the whole series."""
+    root, since, until = f"file://{tmp_path}", "2024-01-12", "2024-01-13"
+    inside = f"date >= '{since}' and date < '{until}'"
+    path = layers.cache_feature(spark, raw, root, "volatility", {"windows": (60,)}, since, until)
+    assert rows(spark.read.parquet(path)) == rows(sinks.with_day(registry.FEATURES["volatility"](bars, windows=(60,))).where(inside))
+    path = layers.cache_targets(spark, raw, root, [(100, 0.9, 0.9)], since, until)
+    assert rows(spark.read.parquet(path)) == rows(sinks.with_day(layers.targets(bars, [(100, 0.9, 0.9)])).where(inside))
+
+
 def test_warmup_covers_defaults():
     assert layers.warmup_bars("ffd_volatility_zscore", {"vol_window": 10}) >= 100 + 10 + 55
     assert layers.warmup_bars("returns", {"periods": (1, 5)}) == 6 and layers.warmup_bars("time_of_day", {}) == 0

@@ -7,10 +7,9 @@ from __future__ import annotations
 
 import inspect
 import json
-import math
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.windows import ffd_weights
@@ -57,6 +56,16 @@ def _bars(spark: SparkSession, raw: str, first: date | None, last: date) -> Data
     return (rows.where(F.col("date") >= F.lit(first)) if first else rows).drop("date")
 
 
+def _reach(spark: SparkSession, raw: str, edge: date, bars: int, ahead: bool) -> date | None:
+    """The day before edge (ahead: after it) that each symbol must be read to for `bars` bars of its own, or for all it has; None if there is no such day."""
+    out = F.col("date") > F.lit(edge) if ahead else F.col("date") < F.lit(edge)
+    nearest = Window.partitionBy("symbol").orderBy(F.col("date").asc() if ahead else F.col("date").desc())
+    days = spark.read.parquet(raw).where(out).groupBy("symbol", "date").count().withColumn("so_far", F.sum("count").over(nearest.rowsBetween(Window.unboundedPreceding, 0)))
+    enough = F.when(F.col("so_far") >= bars, F.col("date"))
+    near, far = (F.min, F.max) if ahead else (F.max, F.min)
+    return days.groupBy("symbol").agg(F.coalesce(near(enough), far("date")).alias("day")).agg(far("day")).first()[0]
+
+
 def _write(df: DataFrame, path: str, days: list[date]) -> None:
     sinks.write_days(sinks.with_day(df).where((F.col("date") >= F.lit(days[0])) & (F.col("date") <= F.lit(days[-1])) & F.col("date").isin(days)).drop("date"), path)
 
@@ -70,28 +79,26 @@ def missing(spark: SparkSession, raw: str, path: str, since: str, until: str) ->
 def cache_feature(spark: SparkSession, raw: str, root: str, label: str, params: dict, since: str, until: str, overwrite: bool = False, bars_per_day: int = 390, sequence: int = 0) -> str:
     """Compute a feature's missing days (all days with overwrite) and return its path.
 
-    Bars before the first such day are read as far as the feature's frames reach: as many days that occur as hold that many
-    bars, at `bars_per_day` for each symbol at least; recursive features read all. With `sequence`, the last so many rows as arrays.
+    Bars before the first such day are read as far as the feature's frames reach: until each symbol has that many bars
+    by count, or all it has; recursive features read all. `bars_per_day` has no effect. With `sequence`, the last so many rows as arrays.
     """
     path = f"{root}/features/{key_of(label, params | ({'sequence': sequence} if sequence else {}))}"
     todo = [d for d in days_of(spark, raw) if d in set(_calendar(since, until))] if overwrite else missing(spark, raw, path, since, until)
     if todo:
-        before = [d for d in days_of(spark, raw) if d < todo[0]]
-        warm = math.ceil((warmup_bars(label, params) + sequence) / bars_per_day)
-        first = None if label in RECURSIVE or warm >= len(before) else (before[-warm] if warm else todo[0])
+        need = warmup_bars(label, params) + sequence
+        first = None if label in RECURSIVE else (need and _reach(spark, raw, todo[0], need, False)) or todo[0]
         out = registry.FEATURES[label](_bars(spark, raw, first, todo[-1] if label != "garch" else date.max), **params)
         _write(align.sequence_rows(out, sequence) if sequence else out, path, todo)
     return path
 
 
 def cache_targets(spark: SparkSession, raw: str, root: str, specs: list[tuple[int, float, float]], since: str, until: str, overwrite: bool = False, bars_per_day: int = 390) -> str:
-    """Targets of missing days; they look ahead, so later days are read as far as the longest period reaches."""
+    """Targets of missing days; they look ahead, so later days are read until each symbol has the longest period's bars. `bars_per_day` has no effect."""
     path = f"{root}/targets/{key_of('targets', {'specs': [list(s) for s in specs]})}"
     todo = [d for d in days_of(spark, raw) if d in set(_calendar(since, until))] if overwrite else missing(spark, raw, path, since, until)
     if todo:
-        after = [d for d in days_of(spark, raw) if d > todo[-1]]
-        ahead = math.ceil((max(p for p, _, _ in specs) + 1) / bars_per_day)
-        _write(targets(_bars(spark, raw, todo[0], after[min(ahead, len(after)) - 1] if after else todo[-1]), specs), path, todo)
+        last = _reach(spark, raw, todo[-1], max(p for p, _, _ in specs) + 1, True) or todo[-1]
+        _write(targets(_bars(spark, raw, todo[0], last), specs), path, todo)
     return path
 
 

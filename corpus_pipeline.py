@@ -28,8 +28,10 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go."""
-    return quality_rules(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+    """Rejected documents go, and so do lines frequent in their host."""
+    out = quality_rules(docs.select(*COLUMNS)).where("kept")
+    removed = F.col("n_common_words") > 0
+    return out.withColumns({"n_chars": F.when(removed, F.length("clean_text").cast("long")).otherwise(F.col("n_chars")), "text": F.col("clean_text")}).select(*COLUMNS)
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,11 @@ def test_stages(spark):
         seen.append(len(got))
         docs, rows = out, got
     assert seen[0] < table(spark, SF, "documents").count() and seen[-1] > 0
+
+
+def test_quality_stage_removes_frequent_lines(spark):
+    own = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(60)]
+    docs = spark.createDataFrame([(i, f"Read  More here\n{t}\n\nlast {i}", "a", "host", 1) for i, t in enumerate(own)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.stage_quality(spark, docs, SF).collect()}
+    want = {i: f"{t}\n\nlast {i}" for i, t in enumerate(own)}
+    assert got == {i: (t, len(t)) for i, t in want.items()}

@@ -80,7 +80,7 @@ def frequent_lines(docs: DataFrame, host: str, text: str, min_docs: int, share:
 
 
 def quality_rules(docs: DataFrame, host: str = "source", min_docs: int = 50, share: float = 0.1, least_kept: float = 0.2) -> DataFrame:
-    """docs with text statistics, base_failed, n_common_words (words in removed lines) and kept.
+    """docs with text statistics, base_failed, n_common_words (words in removed lines), clean_text (text without them) and kept.
 
     A document fails the base rule with under 20 words, or with over 30 % of its words in repeated 8-word windows. It is
     depleted if under `least_kept` of its words are left once lines in over max(min_docs, share of the host's texts)
@@ -93,7 +93,8 @@ def quality_rules(docs: DataFrame, host: str = "source", min_docs: int = 50, sha
     out = text_statistics(docs).join(common, F.col(host).eqNullSafe(F.col("__common_host")), "left")
     gone = F.filter(lines_of(F.col("text")), lambda x: F.array_contains(F.col("__lines"), F.xxhash64(normalised(x))))
     words = F.when(F.col("__lines").isNull(), F.lit(0)).otherwise(F.aggregate(gone, F.lit(0), lambda a, x: a + F.size(words_of(x))))
-    out = out.withColumn("n_common_words", words.cast("long")).drop("__lines", "__common_host")
+    clean = F.array_join(F.filter(lines_of(F.col("text")), lambda x: ~F.array_contains(F.col("__lines"), F.xxhash64(normalised(x)))), "\n")
+    out = out.withColumns({"n_common_words": words.cast("long"), "clean_text": F.when(F.col("__lines").isNull() | F.col("text").isNull(), F.col("text")).otherwise(clean)}).drop("__lines", "__common_host")
     out = out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("n_common_words") >= least_kept * F.col("n_words")))
 

@@ -87,6 +87,12 @@ def test_lm_score_against_exact_counts(spark):
         assert abs(got[d] - sum(exact)) <= math.log10(3) * len(exact)  # a ratio of two levels is within a factor of 3
 
 
+def test_language_sample_counts_distinct_texts(spark):
+    texts = ["hot"] * 6000 + [f"text {i}" for i in range(99)]
+    docs = spark.createDataFrame([("a", t) for t in texts], "lang string, text string")
+    assert sorted(r.text for r in language_id.labelled_sample(docs, 100).collect()) == sorted(set(texts))
+
+
 def test_language_accuracy(spark):
     docs = table(spark, SF, "documents")
     held = language_id.op2_language_id(docs).join(docs.select("doc_id", "lang", "n_chars"), "doc_id").where("held_out and n_chars > 30").collect()

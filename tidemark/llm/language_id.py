@@ -32,9 +32,9 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def labelled_sample(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """Up to `most` distinct texts of each lang, by their hash; first thinned by rate, so that no long group is sorted."""
+    """Up to `most` distinct texts of each lang, by their hash; first thinned by the rate of distinct texts, so that no long group is sorted."""
     rows = docs.where("lang is not null and text is not null").withColumn("__h", F.xxhash64("text"))
-    sizes = C.staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("__n")), "language-sizes")
+    sizes = C.staged(rows.select("lang", "__h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("__n")), "language-sizes")
     sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_LANGS else sizes
     rate = F.least(F.lit(1.0), 2.0 * most / F.col("__n"))
     thin = rows.join(sizes, "lang").where((F.pmod("__h", F.lit(1 << 20)) < rate * (1 << 20)) | (F.col("__n") <= 2 * most))

@@ -55,33 +55,40 @@ def test_lm_base_and_gain(spark):
 
 
 def test_lm_slice_grows_with_its_members():
-    """At any number of members the error rate is that of MEMBER_BITS, and nothing is lost."""
+    """At any number of members the error rate is that of MEMBER_BITS, and nothing is lost; a slice too small is an error."""
     for n in (1 << 16, 1 << 20):
         h = C.fnv_free_mix(np.arange(2 * n, dtype=np.uint64))
         level = 1 + np.arange(n) % 2
-        found = lm_score.Slice(h[:n], level, 64)
+        found = lm_score.Slice(h[:n], level)
         assert len(found.bits) == lm_score.MEMBER_BITS * level.sum()
         assert (found.levels(h[:n]) >= level).all()
         assert (found.levels(h[n:]) > 0).mean() < 0.01
+        with pytest.raises(ValueError):
+            lm_score.Slice(h[:n], level, width=n)
 
 
 def test_lm_score_against_exact_counts(spark):
     """score equals that of exact counts brought to the middle of their levels, and is within the quantisation error of the counts themselves."""
     rows = [(r.doc_id, [None, *words(r.text), None]) for r in table(spark, SF, "documents").collect()]
     learnt = [t for d, t in rows if zlib.crc32(str(d).encode()) % 5 != 1]
-    ones = collections.Counter(w for t in learnt for w in t[1:])
-    twos = collections.Counter(p for t in learnt for p in zip(t, t[1:]))
-    n, v = ones.total(), len(ones)
+    grams = collections.Counter()
+    for t in learnt:
+        for n in (1, 2, 3):
+            grams.update(tuple(t[i - n + 1 : i + 1]) for i in range(1, len(t)) if i - n + 1 >= 0)
+    total, kinds = sum(c for g, c in grams.items() if len(g) == 1), sum(len(g) == 1 for g in grams)
     middle = lambda c: 1.5 * 2 ** (c.bit_length() - 1) - 0.5 if c else 0.0
 
     def logs(t, of):
-        for p, w in zip(t, t[1:]):
-            low = (of(ones[w]) + 0.5) / (n + 0.5 * (v + 1))
-            yield math.log10(min(1.0, lm_score.WEIGHT * min(1.0, of(twos[p, w]) / of(ones[p])) + (1 - lm_score.WEIGHT) * low if ones[p] else low))
+        for i in range(1, len(t)):
+            p = (of(grams[t[i],]) + 0.5) / (total + 0.5 * (kinds + 1))
+            for n in (1, 2):
+                if i - n >= 0 and (context := of(grams[tuple(t[i - n : i])] if n == 1 or i > 1 else 0)):
+                    p = (min(of(grams[tuple(t[i - n : i + 1])]), context) + lm_score.PRIOR * p) / (context + lm_score.PRIOR)
+            yield math.log10(min(1.0, p))
 
     got = {r.doc_id: r.score for r in lm_score.op7_lm_score(table(spark, SF, "documents")).collect()}
     same = [got[d] == pytest.approx(sum(logs(t, middle)), rel=1e-9) for d, t in rows]
-    assert sum(same) >= 0.99 * len(same)  # a false positive of the filter lifts a few
+    assert sum(same) >= 0.95 * len(same)  # a false positive of the filter lifts a few
     for d, t in rows:
         exact = list(logs(t, lambda c: c))
         assert abs(got[d] - sum(exact)) <= math.log10(3) * len(exact)  # a ratio of two levels is within a factor of 3

@@ -6,6 +6,7 @@ so the work is done on bytes. Null texts count as empty.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -31,36 +32,79 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
-    try:
-        found = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:
-        found = None
+    """The folder all executors share: spark.checkpoint.dir. Unset, it is a temporary folder on a local master and an error on any other."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file:///tmp/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = f"file://{tempfile.gettempdir()}/checkpoints"
     return found.rstrip("/")
 
 
+def _path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def fresh_dir(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder, deleted when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    at, fs = _path(spark, path)
+    fs.mkdirs(at)
+    fs.deleteOnExit(at)
+    return path
+
+
 def staged(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage ends at replicated files."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df as a table in the shared folder and read it back: lineage ends at replicated files. They go with unstage, or with the driver's JVM."""
+    path = fresh_dir(df.sparkSession, tag)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def staged_buckets(df: DataFrame, tag: str, key: str, buckets: int) -> DataFrame:
+    """As staged, dealt by a hash of `key` to buckets as it is written, without a shuffle; a later grouping by `key` needs none either."""
+    spark, path, name = df.sparkSession, fresh_dir(df.sparkSession, tag), f"{tag.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.mode("overwrite").option("compression", "zstd").option("path", path).bucketBy(max(1, min(buckets, 100_000)), key).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"drop table {name}")  # the files stay
+    out.staged_at = path
+    return out
+
+
+def unstage(*dfs: DataFrame) -> None:
+    """Delete the files of staged tables that nothing will read again."""
+    for df in dfs:
+        at, fs = _path(df.sparkSession, df.staged_at)
+        fs.delete(at, True)
+
+
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
 
+def shares(total: int, each: int, least: int, most: int) -> int:
+    """A power of two of parts of about `each`, that follows the input and not the cluster."""
+    return 1 << (min(most, max(least, total // each)) - 1).bit_length()
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+#: Keys that hot_join broadcasts at most, and the rows from which a key is hot at least.
+HOT_KEYS, HOT_ROWS = 10_000, 200
 
-def segments(spark: SparkSession, per_partition: int = 8, least: int = 256) -> int:
-    """A power of two of hash segments that follows the cluster's shuffle width."""
-    return 1 << max(least, per_partition * partitions(spark)).bit_length()
 
+def hot_join(rows: DataFrame, keyed: DataFrame, keys: list[str], count: str = "__n", floor: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
+    """rows joined (inner) with keyed, which has one row for each key and in `count` at least the number of rows that hold it.
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound an Arrow batch by rows; a text of any length still fits, being one row."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    Keys of over max(floor, all / most) rows are `most` at most, and are broadcast, so that none of them meets in one task; the others
+    are shuffled as usual. Both sides are read twice: pass staged tables.
+    """
+    total = keyed.agg(F.sum(count)).first()[0] or 0
+    hot = F.col(count) > max(floor, total // most)
+    few = keyed.where(hot).drop(count)
+    plain = rows.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(keyed.where(~hot).drop(count), keys)
+    return plain.unionByName(rows.join(F.broadcast(few), keys))
 
 
 def fnv_free_mix(h: np.ndarray) -> np.ndarray:

@@ -158,7 +158,6 @@ def train(sample: DataFrame) -> Model:
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with lang_pred and score (0 to 1): the best language's share of likelihood, all being equally likely before."""
-    C.small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MODEL_BYTES and a fixed table
     out = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 

@@ -1,22 +1,22 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Documents are dealt into steps of about four megabytes. Each step sends its distinct tokens and token pairs, with their counts in training
-documents, to hash segments. A segment sums them and builds its slice of the filter: a count c enters as its quantised level
-1 + floor(log2 c), the pair (n-gram, j) being a member for each j up to the level, read back by probing j = 1, 2, ... until a probe
-fails. A slice has MEMBER_BITS for each member it holds, FILTER_BITS over all slices at least, so that the error rate doesn't rise with
-the corpus. It is probed where it lies: the segment answers each step with the levels of its n-grams and the exact counts of its
-tokens. A false positive lifts a level by one or more at the filter's error rate; nothing is ever lost.
-
-score: sum over tokens of log10 of WEIGHT * c(previous, token) / c(previous) + (1 - WEIGHT) * (c(token) + 0.5) / (N + 0.5 (V + 1)),
-with counts as the filter tells them; the previous token of the first is the end of a text.
-
-The base score takes the exact counts. Tokens are told apart by 96 bits, pairs by 48, of which a segment is sent the lower 40.
+Documents are dealt into steps of about eight megabytes. Each step sends its distinct tokens, pairs and triples of tokens, with their
+counts in training documents, to hash segments. A segment sums them and builds its slice of the filter: a count c enters as its
+quantised level 1 + floor(log2 c), the pair (n-gram, j) being a member for each j up to the level, read back by probing j = 1, 2, ...
+until a probe fails. A slice has MEMBER_BITS for each member it holds, so that the error rate doesn't rise with the corpus. The filter
+has no size bound, so it isn't broadcast but probed where it lies: the segment answers each step with the levels of its n-grams and the
+exact counts of its tokens. A false positive lifts a level by one or more at the filter's error rate; nothing is ever lost. Steps are
+written in buckets, so that texts are never shuffled; steps and segments follow the bytes of text.
+
+score: sum over tokens w of log10 p(w | u, v), with counts as the filter tells them:
+p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)); p(w | v) = (c(v, w) + PRIOR p(w)) / (c(v) + PRIOR); p(w | u, v) = (c(u, v, w) + PRIOR p(w | v)) / (c(u, v) + PRIOR).
+A context never seen leaves the shorter one's value. The end of the text before stands before the first token, which has no triple.
+
+The base score takes the exact counts. Tokens are told apart by 96 bits, pairs and triples by 48, of which a segment is sent the lower 40.
 """
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -25,17 +25,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
 
-#: Bits of the filter for each member; and of all slices together at least, 32 MB.
-MEMBER_BITS, FILTER_BITS = 16, 1 << 28
-PROBES, WEIGHT = 3, 0.6
+#: Bits of the filter for each member, and of a slice at least; a slice with over FULL of its bits set is an error.
+MEMBER_BITS, LEAST_BITS, FULL = 16, 1 << 16, 0.5
+PROBES, PRIOR = 3, 4.0
 
 _END = (np.uint64(0x1B873593CC9E2D51), np.uint64(0x9AE16A3B2F90404F))
-#: Text bytes of a step.
-STEP_BYTES = 4 << 20
+#: Text bytes of a step, and of a segment's share of the n-grams.
+STEP_BYTES, SEGMENT_BYTES = 8 << 20, 4 << 20
 
 _ASKED = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("n", pa.binary()), ("ph", pa.binary()), ("pn", pa.binary())])
 _TOTALS = ("tokens", "kinds", "members", "bits", "absent", "lifted")
-_TOLD = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("counts", pa.binary()), ("levels", pa.binary()), ("pair_levels", pa.binary()), *((c, pa.int64()) for c in _TOTALS)])
+_TOLD = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("counts", pa.binary()), ("levels", pa.binary()), ("long_levels", pa.binary()), *((c, pa.int64()) for c in _TOTALS)])
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
@@ -57,12 +57,17 @@ def _tokens(words: C.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out[0], (out[1] >> np.uint64(32)).astype(np.uint32), first
 
 
-def _pairs(t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of (previous token, token) at each token, its lower 16 bits clear, and the previous token."""
+def _long_grams(t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, their lower 16 bits clear, of the pair that ends at each token and of the triple that ends there; the latter, at the places given, isn't for first tokens."""
     before = np.empty_like(t)
     before[1:] = t[:-1]
     before[first[:-1]] = _END[0]
-    return C.fnv_free_mix(before * C.MULT + (t ^ C.MIX1)) & ~np.uint64(0xFFFF), before
+    pair = C.fnv_free_mix(before * C.MULT + (t ^ C.MIX1)) & ~np.uint64(0xFFFF)
+    places = np.ones(len(t), bool)
+    places[first[:-1]] = False
+    places = np.flatnonzero(places)
+    triple = C.fnv_free_mix((pair[places - 1] ^ C.MIX2) * C.MULT + t[places]) & ~np.uint64(0xFFFF)
+    return np.concatenate([pair, triple]), places
 
 
 def _seg(h: np.ndarray, segs: int) -> np.ndarray:
@@ -108,17 +113,19 @@ def _levels(n: np.ndarray) -> np.ndarray:
 
 
 class Slice:
-    """A segment's slice of the filter."""
+    """A segment's slice of the filter, with MEMBER_BITS for each member unless `width` says otherwise."""
 
-    def __init__(self, h: np.ndarray, level: np.ndarray, least: int):
+    def __init__(self, h: np.ndarray, level: np.ndarray, width: int = 0):
         self.members = int(level.sum())
-        self.bits = np.zeros(max(64, least, MEMBER_BITS * self.members), bool)
+        self.bits = np.zeros(width or max(LEAST_BITS, MEMBER_BITS * self.members), bool)
         at = 1
         while len(h):
             for place in _places(h, at, len(self.bits)):
                 self.bits[place] = True
             h, level = h[level > at], level[level > at]
             at += 1
+        if self.bits.mean() > FULL:
+            raise ValueError(f"{self.members} members fill {self.bits.mean():.2f} of {len(self.bits)} bits")
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         out = np.zeros(len(h), np.uint8)
@@ -155,8 +162,16 @@ def deal(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(number, "step long, doc_id long, held_out boolean, text string")
 
 
+def _counted(h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, rising, and the sum of their weights."""
+    order = np.argsort(h)
+    h = h[order]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    return h[first], np.add.reduceat(weight[order], first, dtype=np.int32)
+
+
 def ask(dealt: DataFrame, segs: int) -> DataFrame:
-    """Each step's distinct tokens and pairs with their training counts, by segment; a step read in parts asks in parts."""
+    """Each step's distinct tokens, pairs and triples with their training counts, by segment; a step read in parts asks in parts."""
 
     def emit(batches):
         for batch in batches:
@@ -169,11 +184,11 @@ def ask(dealt: DataFrame, segs: int) -> DataFrame:
                     words = C.Words(data[off[a] : off[b]], off[a : b + 1] - off[a], lower=True)
                     t, g, first = _tokens(words)
                     weight = np.repeat(learnt[a:b], np.diff(first))
-                    pair, _ = _pairs(t, first)
                     at, rank = _distinct(t, g)
                     one = {s: x for s, *x in C.by_segment(_seg(t[at], segs), t[at], g[at], np.bincount(rank, weight).astype(np.int32))}
-                    p_at, rank = _distinct(pair)
-                    two = {s: x for s, *x in C.by_segment(_seg(pair[p_at], segs), _short(pair[p_at]), np.bincount(rank, weight).astype(np.int32))}
+                    grams, places = _long_grams(t, first)
+                    grams, n = _counted(grams, np.concatenate([weight, weight[places]]))
+                    two = {s: x for s, *x in C.by_segment(_seg(grams, segs), _short(grams), n)}
                     for s in sorted({*one, *two}):
                         yield s, int(steps[a]), *one.get(s, (b"", b"", b"")), *two.get(s, (b"", b""))
 
@@ -197,7 +212,7 @@ def answer(asked: DataFrame, segs: int) -> DataFrame:
         p_at, p_rank = _distinct(ph)
         p_count, p_kind = np.bincount(p_rank, pn, len(p_at)).astype(np.int64), ph[p_at]
         held, p_held = count > 0, p_count > 0
-        found = Slice(np.concatenate([kind[held], p_kind[p_held]]), _levels(np.concatenate([count[held], p_count[p_held]])), FILTER_BITS // segs)
+        found = Slice(np.concatenate([kind[held], p_kind[p_held]]), _levels(np.concatenate([count[held], p_count[p_held]])))
         level, p_level = found.levels(kind), found.levels(p_kind)
         totals = (count.sum(), held.sum(), found.members, len(found.bits), (~held).sum() + (~p_held).sum(), (level[~held] > 0).sum() + (p_level[~p_held] > 0).sum())
         out = [(seg, None, None, None, None, *map(int, totals))]
@@ -224,17 +239,15 @@ def answer(asked: DataFrame, segs: int) -> DataFrame:
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row; learnt from rows not held out.
 
-    docs: doc_id, text, held_out (boolean, no nulls). A null or wordless text has one token, its end. Null and repeated doc_ids
-    are rows like any others. Without training rows nothing is known, and all tokens have the probability 1 of V = 0.
+    docs: doc_id, text, held_out (boolean, no nulls); other columns are ignored. A null or wordless text has one token, its end. Null and
+    repeated doc_ids are rows like any others. Without training rows nothing is known, and all tokens have the probability 1 of V = 0.
+    An empty table gives no rows. A text of any length is one step, held by one task.
     """
-    spark = docs.sparkSession
-    C.small_batches(spark)
-    segs = C.segments(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "held_out")
-    dealt = C.staged(deal(rows), "lm-steps")  # the steps' numbers stay
+    size = C.text_bytes(rows)
+    segs = C.shares(size, SEGMENT_BYTES, 256, 1 << 16)
+    dealt = C.staged_buckets(deal(rows), "lm-steps", "step", -(-size // STEP_BYTES))  # the steps' numbers stay
     told = C.staged(answer(ask(dealt, segs), segs), "lm-answers")
-    gc.collect()
-    spark._jvm.System.gc()  # the questions' shuffle files go before the next shuffle
     total, kinds = (int(x or 0) for x in told.agg(F.sum("tokens"), F.sum("kinds")).first())
     bottom = total + 0.5 * (kinds + 1)
 
@@ -244,22 +257,26 @@ def score_texts(docs: DataFrame) -> DataFrame:
         n, of = len(off) - 1, np.repeat(np.arange(len(off) - 1), np.diff(first))
         right = right.sort_by("seg")  # a segment is the hash's first bits: answers end to end lie by rising hash
         at, back = _distinct(t, g)
-        pair, before = _pairs(t, first)
-        _, p_back = _distinct(pair)
         count = C.unpack(right.column("counts"), np.int64)[back]
-        single = _middle(C.unpack(right.column("levels"), np.uint8).astype(np.int64))
-        double = _middle(C.unpack(right.column("pair_levels"), np.uint8).astype(np.int64))[p_back]
-        c = single[back]
-        c_before = np.empty(len(t))
-        c_before[1:] = c[:-1]
-        c_before[first[:-1]] = c[first[1:] - 1]  # each text's last token is an end
-        low = (c + 0.5) / bottom
-        p = np.where(c_before > 0, WEIGHT * np.minimum(1.0, double / np.maximum(c_before, 1)) + (1 - WEIGHT) * low, low)
+        c = _middle(C.unpack(right.column("levels"), np.uint8).astype(np.int64))[back]
+        grams, places = _long_grams(t, first)
+        _, l_back = _distinct(grams)
+        held = _middle(C.unpack(right.column("long_levels"), np.uint8).astype(np.int64))[l_back]
+        pair, triple = held[: len(t)], np.zeros(len(t))
+        triple[places] = held[len(t) :]
+        before = np.empty(len(t))
+        before[1:] = c[:-1]
+        before[first[:-1]] = c[first[1:] - 1]  # each text's last token is an end
+        pair_before = np.zeros(len(t))
+        pair_before[places] = pair[places - 1]
+        p = (c + 0.5) / bottom
+        for seen, context in ((pair, before), (triple, pair_before)):
+            p = np.where(context > 0, (np.minimum(seen, context) + PRIOR * p) / (context + PRIOR), p)
         sums = lambda x: np.bincount(of, x, n)
         found = (np.diff(first), sums(count > 0).astype(np.int64), sums(np.log10((count + 0.5) / bottom)), sums(np.log10(np.minimum(p, 1.0))))
         return pa.table([left.column("doc_id"), left.column("held_out"), *map(pa.array, found)], schema=_SCORED)
 
-    answers = told.where("step is not null").select("seg", "step", "counts", "levels", "pair_levels")
+    answers = told.where("step is not null").select("seg", "step", "counts", "levels", "long_levels")
     out = dealt.groupBy("step").cogroup(answers.groupBy("step")).applyInArrow(score, _ddl(_SCORED))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 

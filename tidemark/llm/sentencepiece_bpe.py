@@ -280,7 +280,6 @@ def encode_decode(docs: DataFrame, model: str, text: str = "text", ids: bool = T
     model: path of the model file on every worker. Null text counts as empty and gives no ids. Texts are encoded whole; other columns,
     repeated rows and null ids pass through.
     """
-    C.small_batches(docs.sparkSession)
     fields = [T.StructField("n_tokens", T.LongType()), *[T.StructField("token_ids", T.StringType())] * ids, T.StructField("decoded", T.StringType())]
     keep = docs.columns
 
@@ -300,7 +299,6 @@ def encode_decode(docs: DataFrame, model: str, text: str = "text", ids: bool = T
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encode_decode, reduced where the ids are made."""
-    C.small_batches(docs.sparkSession)
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
 
     def run(batches):

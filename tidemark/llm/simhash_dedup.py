@@ -44,7 +44,6 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataFrame:
     """docs with fp, a signed long that holds the 64 bits. Null text counts as empty."""
-    C.small_batches(docs.sparkSession)
     out = T.StructType([*docs.schema.fields, T.StructField("fp", T.LongType())])
 
     def run(batches):

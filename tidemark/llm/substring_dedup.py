@@ -10,7 +10,7 @@
    one Aho-Corasick automaton, all documents of the shard are streamed through it, and the windows around every
    occurrence are confirmed by a 128-bit hash. Words under a window first seen in a smaller document are removed.
 
-The number of shards and segments follows spark.sql.shuffle.partitions. Windows are judged on the input.
+The numbers of shards and segments follow the bytes of text. Windows are judged on the input.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from tidemark.llm import common as C
 
 #: Bits of the broadcast anchor filter; 16 MB at any input size.
 FILTER_BITS = 1 << 27
+#: Bytes of text of a shard, which one task holds.
+SHARD_BYTES = 4 << 20
 
 _ANCHORS = "seg int, h binary, lo binary, hi binary"
 _SPOTS = "shard int, g binary, doc binary, pos binary, least binary"
@@ -125,9 +127,8 @@ def _known(bits: np.ndarray, h: np.ndarray, segs: int) -> np.ndarray:
     return (test(one) & test(two)).astype(bool)
 
 
-def confirmed_windows(docs: DataFrame, window: int, seed: int, segs: int, shards: int) -> DataFrame:
+def confirmed_windows(docs: DataFrame, window: int, seed: int, segs: int, groups: int, shards: int) -> DataFrame:
     """For each repeated window and shard, one place in that shard that repeats it: shard, doc, pos, least (packed)."""
-    groups = C.segments(docs.sparkSession, 1, 64)  # each gives a row for each shard, so there are no more than partitions ask for
     known = docs.sparkSession.sparkContext.broadcast(bytes(recurring_anchors(docs, window, seed, segs)))
 
     def emit(batches):
@@ -253,12 +254,12 @@ def dedup_substrings(docs: DataFrame, window: int = 50, seed: int = 8) -> DataFr
     the same doc_id are one document in the order: they don't remove each other's words. Texts under `window` words,
     and empty tables, come back unchanged. Words are joined by one space. Passages within one document stay.
     """
-    spark = docs.sparkSession
-    C.small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = docs.where("doc_id is not null")
-    shards, segs = 4 * C.partitions(spark), C.segments(spark)
-    spots = confirmed_windows(known, window, seed, segs, shards)
+    size = C.text_bytes(known)
+    shards, segs = max(16, size // SHARD_BYTES), C.shares(size, SHARD_BYTES, 256, 1 << 14)
+    # each group of windows gives a row for each shard, so there are few
+    spots = confirmed_windows(known, window, seed, segs, C.shares(size, 4 * SHARD_BYTES, 64, 1 << 12), shards)
     out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -85,7 +85,6 @@ def read_records(spark, path: str) -> DataFrame:
 
 def read_back(spark, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to, parsed from the rebuilt and verified records."""
-    C.small_batches(spark)
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
     def run(batches):

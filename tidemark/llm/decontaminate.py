@@ -1,102 +1,231 @@
-"""Benchmark decontamination by SimHash of item-sized windows. DataFrame functions only.
+"""Benchmark decontamination by SimHash of item-sized windows.
 
-Texts are lower case words; a shingle is five words, or the whole item where it is shorter. A window has as many shingles
-as an item. A window at similarity 0.8 or more shares at least 8/9 of the item's shingles, so only windows around enough shared
-shingles are fingerprinted. A window's SimHash is looked up in blocks of 8 bits: two fingerprints within RADIUS = 23 bits
-have a block in which they differ in at most two, so each item is stored under every value within two bits of each of
-its eight blocks, and none within the radius is lost. Candidates are verified by exact weighted Jaccard similarity, a shingle's weight being its count.
+Texts are lower case words; a shingle is five words, or the whole item where it is shorter. Every window with as many shingles as an item
+is fingerprinted, for each such number, from running sums of the shingles' bits: eight sums of eight bits are held in one number, and a
+window's votes are a difference of two. Windows are looked up in blocks of 8 bits: two fingerprints within RADIUS = 23 bits have a block in
+which they differ in at most two, so each item is stored under every value within two bits of each of its eight blocks, and none within
+the radius is lost. Candidates come from the blocks alone; those within the radius are verified by exact weighted Jaccard similarity, a
+shingle's weight being its count.
 
 At similarity 0.8 two fingerprints differ in 10 bits on average, with a deviation of 3; the radius is over four deviations beyond.
+
+The items' fingerprints and shingles are sent to the workers in parts of PART_SHINGLES at most; the documents are read once for each part,
+and no document moves. This is numpy work: a gigabyte of text has some 145 million places, and with 43 sizes of items 6 billion windows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import common as C
-from tidemark.llm.quality_rules import words_of
 
 RADIUS, BLOCK = 23, 8
-#: Rows up to which the item shingles or the matched documents' keys are broadcast; beyond it the join is a shuffle.
-BROADCAST_ROWS = 1_000_000
-
-
-def _bounded(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
-def shingles(words: Column, size: int | Column) -> Column:
-    """Hashes of the `size`-word shingles, in order; empty if there are fewer words."""
+#: Shingles of the items sent to the workers at once: 16 MB of hashes.
+PART_SHINGLES = 1 << 21
+#: Places of which the windows are handled at once: 4 MB of sums.
+PLACES = 1 << 16
 
-    def of(w):
-        n = F.size(w) - size + 1
-        return F.when(n > 0, F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, size)))).otherwise(F.array().cast("array<bigint>"))
+_ONES = np.uint64(0x0101010101010101)
+_HIGH = np.uint64(0x8080808080808080)
+_FLIPS = np.array([0, *[1 << i for i in range(BLOCK)], *[(1 << i) | (1 << j) for i in range(BLOCK) for j in range(i)]], np.uint8)
 
-    return C.let(words, of)
 
+def _votes(h: np.ndarray) -> np.ndarray:
+    """Running sums of votes, 1 for a bit and -1 for none, modulo 2**64: row j has bits j, 8 + j, 16 + j, ... of the hashes in bytes of one number."""
+    out = np.zeros((8, len(h) + 1), np.uint64)
+    for j in range(8):
+        np.cumsum(((h >> np.uint64(j)) & _ONES) * np.uint64(2) - _ONES, out=out[j, 1:])
+    return out
 
-def simhash(h: Column) -> Column:
-    """64-bit SimHash of shingle hashes, each occurrence a vote."""
-    votes = lambda b: F.size(F.filter(h, lambda x: F.call_function("shiftrightunsigned", x, b).bitwiseAND(F.lit(1)) == 1))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(F.when(2 * votes(b) > F.size(h), F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))))
 
+def fingerprints(votes: np.ndarray, n: int, raised: np.ndarray | None = None) -> np.ndarray:
+    """SimHash of the windows of n shingles; a bit is 1 if over half of them have it.
 
-def _block(fp: Column, b: int) -> Column:
-    return F.shiftrightunsigned(fp, BLOCK * b).bitwiseAND(F.lit((1 << BLOCK) - 1)).cast("int")
-
-
-def similarity(a: Column, b: Column) -> Column:
+    The votes of a window are a difference of running sums. With 127 added to each byte (`raised`: the sums with it) they don't borrow
+    from each other while n < 128, and a byte's highest bit is the answer. Larger windows add parts under 128, bit by bit.
+    """
+    m = max(0, votes.shape[1] - n)
+    out = np.zeros(m, np.uint64)
+    raised = votes + _ONES * np.uint64(127) if raised is None else raised
+    if n < 128:
+        x = np.empty(m, np.uint64)
+        for j in range(8):
+            np.subtract(raised[j, n : n + m], votes[j, :m], out=x)
+            x &= _HIGH
+            out >>= np.uint64(1)
+            out |= x
+        return out
+    for j in range(8):
+        for b in range(8):
+            count = np.zeros(m, np.int64)
+            for a in range(0, n, 127):
+                z = min(n, a + 127)
+                count += (((raised[j, z : z + m] - votes[j, a : a + m]) >> np.uint64(8 * b)) & np.uint64(255)).astype(np.int64) - 127
+            out |= (count > 0).astype(np.uint64) << np.uint64(8 * b + j)
+    return out
+
+
+def simhash(h: np.ndarray) -> int:
+    return int(fingerprints(_votes(h), len(h))[0])
+
+
+def block_tables(prints: np.ndarray) -> np.ndarray:
+    """For up to 64 fingerprints: the bits of those with a value within two bits of it in a block. Two blocks that lie side by side
+    share a row, which has the bits of both for each of their values together."""
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(prints) <= 8 * k().itemsize)
+    one = np.zeros((64 // BLOCK, 1 << BLOCK), kind)
+    for k, own in enumerate(prints.view(np.uint8).reshape(-1, 64 // BLOCK)):
+        for b, v in enumerate(own):
+            one[b, v ^ _FLIPS] |= kind(1 << k)
+    return np.ascontiguousarray((one[1::2, :, None] | one[::2, None, :]).reshape(64 // BLOCK // 2, -1))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Weighted Jaccard similarity of two shingle lists."""
-    plain = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
-    times = lambda x, s: F.size(F.filter(x, lambda y: y == s))
-    shared = F.when(plain, F.size(F.array_intersect(a, b))).otherwise(F.aggregate(F.array_distinct(a), F.lit(0), lambda acc, s: acc + F.least(times(a, s), times(b, s))))
-    return shared.cast("double") / (F.size(a) + F.size(b) - shared).cast("double")
-
-
-def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.8, shingle: int = 5) -> DataFrame:
+    x, n = np.unique(a, return_counts=True)
+    y, m = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    shared = int(np.minimum(n[i], m[j]).sum())
+    return shared / (len(a) + len(b) - shared)
+
+
+@dataclass
+class Group:
+    """Up to 64 items with equal shingle width and number of shingles."""
+
+    width: int
+    n: int
+    at: list[int]
+    prints: np.ndarray
+    tables: np.ndarray
+    shingles: list[np.ndarray]
+
+
+def _shingles(words: C.Words, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles that start at each word, and which of them lie in one text."""
+    return words.grams(words.hashes(), width), words.inside(width)
+
+
+class Index:
+    """Items (their words as one text each) grouped by size, with block tables."""
+
+    def __init__(self, texts: list[str], shingle: int):
+        by_size: dict[tuple[int, int], list[int]] = {}
+        found: list[np.ndarray] = []
+        for i, t in enumerate(texts):
+            raw = t.encode()
+            words = C.Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+            width = min(shingle, len(words.start))
+            found.append(_shingles(words, width)[0])
+            by_size.setdefault((width, len(found[i])), []).append(i)
+        self.groups = [self._group(w, n, own[a : a + 64], found) for (w, n), own in sorted(by_size.items()) for a in range(0, len(own), 64)]
+
+    @staticmethod
+    def _group(width: int, n: int, at: list[int], found: list[np.ndarray]) -> Group:
+        prints = np.array([simhash(found[i]) for i in at], np.uint64)
+        return Group(width, n, at, prints, block_tables(prints), [found[i] for i in at])
+
+    def search(self, words: C.Words, least: float) -> Iterator[tuple[int, int, float, int]]:
+        """(text, item, similarity, start) of each text and item whose best window has at least `least`; of equal windows the first."""
+        for width in sorted({g.width for g in self.groups}):
+            h, inside = _shingles(words, width)
+            if len(h):
+                yield from self._search(words, h, inside, [g for g in self.groups if g.width == width], least)
+
+    def _search(self, words: C.Words, h: np.ndarray, inside: np.ndarray, groups: list[Group], least: float) -> Iterator[tuple[int, int, float, int]]:
+        h = np.where(inside, h, np.uint64(0))
+        first = words.first
+        best: dict[tuple[int, int], tuple[float, int]] = {}
+        known = None
+        longest = max(g.n for g in groups)
+        for a in range(0, len(h), PLACES):
+            votes = _votes(h[a : a + PLACES + longest - 1])
+            raised = votes + _ONES * np.uint64(127)
+            for g in groups:
+                fp = fingerprints(votes[:, : PLACES + g.n], g.n, raised)
+                if not len(fp):
+                    continue
+                values = fp.view("<u2").reshape(-1, 4).T.astype(np.intp)
+                met = g.tables[0].take(values[0], mode="clip")
+                for table, value in zip(g.tables[1:], values[1:], strict=True):
+                    met |= table.take(value, mode="clip")
+                for k in range(len(g.at)):
+                    near = np.bitwise_count(fp ^ g.prints[k]) <= RADIUS
+                    near &= (met & met.dtype.type(1 << k)) != 0
+                    start = np.flatnonzero(near) + a
+                    if not len(start):
+                        continue
+                    # verification, first by a bound: shingles of any item in the window
+                    if known is None:
+                        every = np.unique(np.concatenate([s for x in groups for s in x.shingles]))
+                        place = np.minimum(np.searchsorted(every, h), len(every) - 1)
+                        known = np.r_[0, np.cumsum(every[place] == h)]
+                    enough = 2 * least / (1 + least) * g.n - 1e-9
+                    start = start[known[start + g.n] - known[start] >= enough]
+                    for s in start.tolist():
+                        doc = int(words.doc[s])
+                        if s + g.n + g.width - 1 > first[doc + 1]:
+                            continue  # reaches into the next text
+                        found = similarity(g.shingles[k], h[s : s + g.n])
+                        if found >= least and found > best.get((doc, g.at[k]), (0.0, 0))[0]:
+                            best[doc, g.at[k]] = (found, s - int(first[doc]))
+        yield from ((doc, item, found, start) for (doc, item), (found, start) in best.items())
+
+
+def _parts(items: DataFrame, most: int) -> Iterator[list[tuple]]:
+    """The items in runs of about `most` words; one run at a time is on the driver."""
+    hold, size = [], 0
+    for r in items.toLocalIterator():
+        hold.append((r[0], r[1]))
+        size += r[1].count(" ") + 1
+        if size >= most:
+            yield hold
+            hold, size = [], 0
+    if hold:
+        yield hold
+
+
+def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.8, shingle: int = 5, part: int = PART_SHINGLES) -> DataFrame:
     """doc_id, item_id, similarity, start: for each document and item its best window of at least `least` (first word from 0).
 
     docs: doc_id, text; items: item_id, text; other columns are ignored. Null, empty and wordless texts match nothing; a document shorter
-    than an item can't hold its window. Equal texts are worked once and then reported for each row, those with a
-    null or repeated doc_id included. Empty tables give no rows.
+    than an item can't hold its window. Of equal windows the first counts. Repeated rows of docs, those with a null or repeated doc_id
+    included, are each reported; repeated rows of items once. Empty tables give no rows. A text of any length is handled by one task in
+    time linear in its words and the number of item sizes.
     """
-    items = items.select("item_id", words_of(F.lower("text")).alias("w")).where("size(w) > 0").distinct()
-    items = items.withColumn("k", F.least(F.lit(shingle), F.size("w"))).withColumn("is", shingles(F.col("w"), F.col("k")))
-    items = C.staged(items.select("item_id", "k", "is", simhash(F.col("is")).alias("ifp")), "items")
-    widths = [r[0] for r in items.select("k").distinct().collect()]  # at most `shingle` values
-    if not widths:
-        return docs.select("doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("start")).limit(0)
-
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("c1"), F.xxhash64(F.lit("b"), F.reverse("text")).alias("c2"), words_of(F.lower("text")).alias("w"))
-    hashed = keyed.select("doc_id", "c1", "c2", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), shingles(F.col("w"), k).alias("h")) for k in sorted(widths)])).alias("x")).select("doc_id", "c1", "c2", "x.k", "x.h") if len(widths) > 1 else keyed.select("doc_id", "c1", "c2", F.lit(widths[0]).alias("k"), shingles(F.col("w"), widths[0]).alias("h"))
-
-    # shared shingles, and from them the starts of windows that hold enough of an item
-    parts = _bounded(C.staged(items.select("item_id", "k", F.size("is").alias("n"), F.explode(F.array_distinct("is")).alias("s")), "item-shingles"))
-    met = hashed.select("c1", "c2", "k", F.size("h").alias("m"), F.posexplode_outer("h").alias("pos", "s")).join(parts, ["k", "s"]).groupBy("c1", "c2", "k", "item_id", "n", "m").agg(F.sort_array(F.collect_set("pos")).alias("p"))
-    # similarity at least `least` needs this many shared places
-    enough = F.ceil(2 * F.lit(least) / (1 + F.lit(least)) * F.col("n") - 1e-9).cast("int")
-    # j-th place and the place `enough` - 1 later must fit one window
-    runs = F.transform("p", lambda x, j: F.struct(x.alias("lo"), F.get(F.col("p"), j + F.col("need") - 1).alias("hi")))
-    fits = F.filter(runs, lambda r: r["hi"].isNotNull() & (r["hi"] - r["lo"] < F.col("n")))
-    starts = F.array_distinct(F.flatten(F.transform(fits, lambda r: F.sequence(F.greatest(r["hi"] - F.col("n") + 1, F.lit(0)), F.least(r["lo"], F.col("m") - F.col("n"))))))
-    ok = met.withColumn("need", enough).where("m >= n").select("c1", "c2", "k", "item_id", "n", F.explode_outer(starts).alias("start")).where("start is not null")
-    windows = C.staged(ok, "windows")
-
-    # the windows themselves, once for each distinct text
-    texts = _bounded(C.staged(windows.select("c1", "c2", "k").distinct(), "window-texts"))
-    held = hashed.join(texts, ["c1", "c2", "k"], "left_semi")
-    once = held.select("c1", "c2", "k", "h").dropDuplicates(["c1", "c2", "k"])
-    cut = once.join(windows, ["c1", "c2", "k"]).select("c1", "c2", "item_id", "start", F.slice("h", F.col("start") + 1, F.col("n")).alias("ws"))
-    cut = C.staged(cut.select("*", simhash(F.col("ws")).alias("wfp")), "fingerprints")
-    flips = [0, *[1 << i for i in range(BLOCK)], *[(1 << i) | (1 << j) for i in range(BLOCK) for j in range(i)]]
-    probe = cut.select("c1", "c2", "item_id", "start", F.posexplode(F.array(*[_block(F.col("wfp"), b) for b in range(64 // BLOCK)])).alias("b", "v"))
-    stored = items.select("item_id", F.posexplode(F.array(*[_block(F.col("ifp"), b) for b in range(64 // BLOCK)])).alias("b", "v0")).select("item_id", "b", F.explode(F.array(*[F.col("v0").bitwiseXOR(F.lit(x)) for x in flips])).alias("v"))
-    candidates = probe.join(stored, ["item_id", "b", "v"]).select("c1", "c2", "item_id", "start").distinct()
-    sized = cut.join(candidates, ["c1", "c2", "item_id", "start"]).join(items.select("item_id", "is", "ifp"), "item_id")
-    close = sized.where(F.bit_count(F.col("wfp").bitwiseXOR(F.col("ifp"))) <= RADIUS).withColumn("similarity", similarity(F.col("is"), F.col("ws"))).where(F.col("similarity") >= least)
-    best = close.groupBy("c1", "c2", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("x")).select("c1", "c2", "item_id", "x.similarity", (-F.col("x.back")).cast("long").alias("start"))
-    return keyed.select("doc_id", "c1", "c2").join(_bounded(C.staged(best, "matches")), ["c1", "c2"]).select("doc_id", "item_id", "similarity", "start")
+    kind = lambda df, c: df.schema[c].dataType
+    out = T.StructType([T.StructField("doc_id", kind(docs, "doc_id")), T.StructField("item_id", kind(items, "item_id")), T.StructField("similarity", T.DoubleType()), T.StructField("start", T.LongType())])
+    spark, rows = docs.sparkSession, docs.select("doc_id", F.lower(F.col("text").cast("string")).alias("text"))
+    clean = F.trim(F.regexp_replace(F.lower(F.col("text").cast("string")), C.SPACE_PATTERN, " "))
+    items = C.staged(items.select("item_id", clean.alias("text")).where("text <> ''").distinct(), "items")
+
+    def search(own: list[tuple]) -> DataFrame:
+        sent = spark.sparkContext.broadcast(([i for i, _ in own], Index([t for _, t in own], shingle)))
+
+        def run(batches):
+            names, index = sent.value
+            for batch in batches:
+                data, off = C.utf8(batch.column("text"))
+                hits = []
+                for a, b in C.steps(off):
+                    hits += [(a + r, *x) for r, *x in index.search(C.Words(data[off[a] : off[b]], off[a : b + 1] - off[a]), least)]
+                if hits:
+                    at, item, found, start = zip(*hits, strict=True)
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), pa.array([names[i] for i in item]), pa.array(found), pa.array(start, pa.int64())], out.names)
+
+        return rows.mapInArrow(run, out)
+
+    found = None
+    for own in _parts(items, part):
+        found = search(own) if found is None else found.unionByName(search(own))
+    return found if found is not None else spark.createDataFrame([], out)
 
 
 def op6_decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:

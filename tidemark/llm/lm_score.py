@@ -12,7 +12,8 @@ score: sum over tokens w of log10 p(w | u, v), with counts as the filter tells t
 p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)); p(w | v) = (c(v, w) + PRIOR p(w)) / (c(v) + PRIOR); p(w | u, v) = (c(u, v, w) + PRIOR p(w | v)) / (c(u, v) + PRIOR).
 A context never seen leaves the shorter one's value. The end of the text before stands before the first token, which has no triple.
 
-The base score takes the exact counts. Tokens are told apart by 96 bits, pairs and triples by 48, of which a segment is sent the lower 40.
+The base score takes the exact counts. Tokens are told apart by 96 bits; pairs and triples by 32 bits within their segment, which holds
+about a million at any input size, so that one in some thousands is taken for another. They are sent as differences of rising numbers.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ _END = (np.uint64(0x1B873593CC9E2D51), np.uint64(0x9AE16A3B2F90404F))
 #: Text bytes of a step, and of a segment's share of the n-grams.
 STEP_BYTES, SEGMENT_BYTES = 8 << 20, 4 << 20
 
-_ASKED = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("n", pa.binary()), ("ph", pa.binary()), ("pn", pa.binary())])
+_ASKED = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("h", pa.binary()), ("g", pa.binary()), ("n", pa.binary()), ("ph", pa.binary()), ("pn", pa.binary()), ("px", pa.binary())])
 _TOTALS = ("tokens", "kinds", "members", "bits", "absent", "lifted")
 _TOLD = pa.schema([("seg", pa.int32()), ("step", pa.int64()), ("counts", pa.binary()), ("levels", pa.binary()), ("long_levels", pa.binary()), *((c, pa.int64()) for c in _TOTALS)])
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -44,46 +45,54 @@ def _ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
-def _tokens(words: C.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Both hashes of all tokens (64 and 32 bits), each text's words and then its end; and the first token of each text."""
-    n, docs = len(words.start), len(words.first) - 1
-    at = np.arange(n) + words.doc
-    first = words.first + np.arange(docs + 1)
-    out = []
-    for which in (0, 1):
-        t = np.full(n + docs, _END[which], np.uint64)
-        t[at] = words.hashes(which)
-        out.append(t)
-    return out[0], (out[1] >> np.uint64(32)).astype(np.uint32), first
-
-
-def _long_grams(t: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, their lower 16 bits clear, of the pair that ends at each token and of the triple that ends there; the latter, at the places given, isn't for first tokens."""
+    one, two, sizes = [], [], []
+    for a, b in C.steps(off):
+        words = C.Words(data[off[a] : off[b]], off[a : b + 1] - off[a], lower=True)
+        at = np.arange(len(words.start)) + words.doc
+        for which, out in ((0, one), (1, two)):
+            t = np.full(len(words.start) + b - a, _END[which], np.uint64)
+            t[at] = words.hashes(which)
+            out.append(t if which == 0 else (t >> np.uint64(32)).astype(np.uint32))
+        sizes.append(np.diff(words.first) + 1)
+    return np.concatenate(one), np.concatenate(two), np.r_[0, np.cumsum(np.concatenate(sizes))]
+
+
+def _long_grams(t: np.ndarray, first: np.ndarray, segs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, of a segment's bits and 32 more, of the pair that ends at each token and of the triple that ends there; the latter, at the places given, isn't for first tokens."""
     before = np.empty_like(t)
     before[1:] = t[:-1]
     before[first[:-1]] = _END[0]
-    pair = C.fnv_free_mix(before * C.MULT + (t ^ C.MIX1)) & ~np.uint64(0xFFFF)
+    pair = C.fnv_free_mix(before * C.MULT + (t ^ C.MIX1))
     places = np.ones(len(t), bool)
     places[first[:-1]] = False
     places = np.flatnonzero(places)
-    triple = C.fnv_free_mix((pair[places - 1] ^ C.MIX2) * C.MULT + t[places]) & ~np.uint64(0xFFFF)
-    return np.concatenate([pair, triple]), places
+    triple = C.fnv_free_mix((pair[places - 1] ^ C.MIX2) * C.MULT + t[places])
+    drop = np.uint64(32 - (segs.bit_length() - 1))
+    return (np.concatenate([pair, triple]) >> drop) << drop, places
 
 
 def _seg(h: np.ndarray, segs: int) -> np.ndarray:
     return (h >> np.uint64(64 - (segs.bit_length() - 1))).astype(np.int32)
 
 
-def _short(h: np.ndarray) -> np.ndarray:
-    """Bytes 2 to 6 of pair hashes, one row each; the segment, of 512 at least, tells the rest."""
-    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:7]
+def _packed(h: np.ndarray, n: np.ndarray, segs: int) -> tuple[bytes, bytes, bytes]:
+    """A segment's rising hashes as differences of their 32 bits, in the least bytes that hold them all; counts as bytes; and what counts of 255 and more have beyond."""
+    low = ((h << np.uint64(segs.bit_length() - 1)) >> np.uint64(32)).astype(np.int64)
+    steps = np.diff(low, prepend=0).astype("<u4")
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return steps.view(np.uint8).reshape(-1, 4)[:, :width].tobytes(), np.minimum(n, 255).astype(np.uint8).tobytes(), (n[n >= 255] - 255).astype("<i4").tobytes()
 
 
-def _long(short: np.ndarray, seg: int, segs: int) -> np.ndarray:
-    full = np.zeros((len(short) // 5, 8), np.uint8)
-    full[:, 2:7] = short.reshape(-1, 5)
-    bits = 64 - (segs.bit_length() - 1)
-    return (full.reshape(-1).view("<u8") & np.uint64((1 << bits) - 1)) | np.uint64(seg << bits)
+def _unpacked(ph: bytes, pn: bytes, px: bytes, seg: int, segs: int) -> tuple[np.ndarray, np.ndarray]:
+    n = np.frombuffer(pn, np.uint8).astype(np.int64)
+    n[n == 255] += np.frombuffer(px, "<i4")
+    steps = np.zeros((len(pn), 4), np.uint8)
+    steps[:, : len(ph) // max(1, len(pn))] = np.frombuffer(ph, np.uint8).reshape(len(pn), -1) if len(pn) else 0
+    low = np.cumsum(steps.reshape(-1).view("<u4"), dtype=np.uint64)
+    bits = segs.bit_length() - 1
+    return (low << np.uint64(32 - bits)) | np.uint64(seg << (64 - bits)), n
 
 
 def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,16 +190,17 @@ def ask(dealt: DataFrame, segs: int) -> DataFrame:
 
             def rows():
                 for a, b in zip(cuts, [*cuts[1:], len(steps)], strict=True):
-                    words = C.Words(data[off[a] : off[b]], off[a : b + 1] - off[a], lower=True)
-                    t, g, first = _tokens(words)
+                    t, g, first = _tokens(data[off[a] : off[b]], off[a : b + 1] - off[a])
                     weight = np.repeat(learnt[a:b], np.diff(first))
                     at, rank = _distinct(t, g)
                     one = {s: x for s, *x in C.by_segment(_seg(t[at], segs), t[at], g[at], np.bincount(rank, weight).astype(np.int32))}
-                    grams, places = _long_grams(t, first)
+                    grams, places = _long_grams(t, first, segs)
                     grams, n = _counted(grams, np.concatenate([weight, weight[places]]))
-                    two = {s: x for s, *x in C.by_segment(_seg(grams, segs), _short(grams), n)}
+                    seg = _seg(grams, segs)
+                    ends = np.searchsorted(seg, np.arange(segs + 1))
+                    two = {s: _packed(grams[x:y], n[x:y], segs) for s, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if y > x}
                     for s in sorted({*one, *two}):
-                        yield s, int(steps[a]), *one.get(s, (b"", b"", b"")), *two.get(s, (b"", b""))
+                        yield s, int(steps[a]), *one.get(s, (b"", b"", b"")), *two.get(s, (b"", b"", b""))
 
             yield from C.packed(rows(), _ASKED)
 
@@ -204,8 +214,10 @@ def answer(asked: DataFrame, segs: int) -> DataFrame:
     def reduce(group: pa.Table) -> pa.Table:
         seg, steps = group.column("seg")[0].as_py(), group.column("step").to_numpy()
         column = lambda c, kind: (C.unpack(group.column(c), kind), np.repeat(steps, [len(x) // np.dtype(kind).itemsize for x in group.column(c).to_pylist()]))
-        (h, of), (pn, p_of) = column("h", np.uint64), column("pn", np.int32)
-        ph = _long(C.unpack(group.column("ph"), np.uint8), seg, segs)
+        h, of = column("h", np.uint64)
+        longs = [_unpacked(*x, seg, segs) for x in zip(*(group.column(c).to_pylist() for c in ("ph", "pn", "px")), strict=True)]
+        ph, pn = (np.concatenate(x) for x in zip(*longs, strict=True))
+        p_of = np.repeat(steps, [len(x) for x, _ in longs])
         g, n = C.unpack(group.column("g"), np.uint32), C.unpack(group.column("n"), np.int32)
         at, rank = _distinct(h, g)
         count, kind = np.bincount(rank, n, len(at)).astype(np.int64), h[at]
@@ -253,13 +265,13 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         data, off = C.utf8(left.column("text"))
-        t, g, first = _tokens(C.Words(data, off, lower=True))
+        t, g, first = _tokens(data, off)
         n, of = len(off) - 1, np.repeat(np.arange(len(off) - 1), np.diff(first))
         right = right.sort_by("seg")  # a segment is the hash's first bits: answers end to end lie by rising hash
         at, back = _distinct(t, g)
         count = C.unpack(right.column("counts"), np.int64)[back]
         c = _middle(C.unpack(right.column("levels"), np.uint8).astype(np.int64))[back]
-        grams, places = _long_grams(t, first)
+        grams, places = _long_grams(t, first, segs)
         _, l_back = _distinct(grams)
         held = _middle(C.unpack(right.column("long_levels"), np.uint8).astype(np.int64))[l_back]
         pair, triple = held[: len(t)], np.zeros(len(t))

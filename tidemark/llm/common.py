@@ -100,8 +100,11 @@ def hot_join(rows: DataFrame, keyed: DataFrame, keys: list[str], count: str = "_
     Keys of over max(floor, all / most) rows are `most` at most, and are broadcast, so that none of them meets in one task; the others
     are shuffled as usual. Both sides are read twice: pass staged tables.
     """
-    total = keyed.agg(F.sum(count)).first()[0] or 0
-    hot = F.col(count) > max(floor, total // most)
+    total, largest = (x or 0 for x in keyed.agg(F.sum(count), F.max(count)).first())
+    limit = max(floor, total // most)
+    if largest <= limit:
+        return rows.join(keyed.drop(count), keys)
+    hot = F.col(count) > limit
     few = keyed.where(hot).drop(count)
     plain = rows.join(F.broadcast(few.select(*keys)), keys, "left_anti").join(keyed.where(~hot).drop(count), keys)
     return plain.unionByName(rows.join(F.broadcast(few), keys))
@@ -254,6 +257,21 @@ def unpack(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
+def packed_row(docs: DataFrame) -> DataFrame:
+    """docs as one struct column `row`: no helper column can meet one of its names."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+
+
+def unpacked_row(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The named columns of `row`, then the new ones, which replace those of the same name."""
+    return df.select(*[F.col("row").getField(c).alias(c) for c in columns if c not in new], *[v.alias(k) for k, v in new.items()])
+
+
+def text_key(text: Column) -> list[Column]:
+    """128 bits that tell texts apart."""
+    return [F.xxhash64(text).alias("c1"), F.xxhash64(F.lit("b"), text).alias("c2")]
+
+
 def let(x: Column, f) -> Column:
     """f(x) with x computed once, wherever the optimiser may copy the expression to."""
     return F.get(F.transform(F.array(x), f), 0)

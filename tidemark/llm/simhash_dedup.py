@@ -92,15 +92,15 @@ def near_duplicates(docs: DataFrame, distance: int = 2, shingle: int = 3) -> Dat
     fingerprint and, if others share the component, their least id. An empty table gives no rows.
     """
     rows = C.staged(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "text", shingle).select("doc_id", "fp"), "fingerprints")
-    nodes = C.staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    repeated = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("u"), F.max("fp").alias("m"), F.count(F.lit(1)).alias("c")).where("u <> m")
+    nodes = C.staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("__n")), "nodes")
+    repeated = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("u"), F.max("fp").alias("m")).where("u <> m")
     same = rows.join(repeated, "doc_id").select("u", F.col("fp").alias("v")).where("u <> v")
     found = C.staged(components(links(nodes.select("fp"), distance).unionByName(same)), "components")
-    least = found.join(nodes, found["node"] == nodes["fp"]).groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = found.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    classes = nodes.join(classes, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return rows.join(classes, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    least = C.staged(found.join(nodes, found["node"] == nodes["fp"]).groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("__n")), "roots")
+    classes = C.hot_join(found, least, ["root"]).select(F.col("node").alias("fp"), "component_id")
+    classes = C.staged(nodes.join(classes, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"), "__n"), "classes")
+    out = rows.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"))
+    return C.hot_join(out, classes, ["fp"]).select("doc_id", "fingerprint", "component_id")
 
 
 def op3_simhash_dedup(docs: DataFrame) -> DataFrame:

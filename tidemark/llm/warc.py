@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +19,7 @@ from tidemark.llm import common as C
 REVISIT_BYTES = 1000
 #: Fixed values of WARC 1.1: media types, and the profile of a revisit to an identical payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_HEADERS = "page_id long, strong string, stored boolean, head binary"
+_HEADERS = "page_id long, strong string, stored boolean, refers_to long, head binary"
 
 
 def record_head(page_id: int | None, url: str | None, kind: str, refers_to: int | None, size: int, sha1: bytes, date: str) -> bytes:
@@ -60,14 +59,14 @@ def write_archive(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "utf-8").alias("payload"))
     rows = rows.withColumn("strong", F.sha2("payload", 256))
     light = C.staged(rows.select("page_id", "url", "strong", F.octet_length("payload").cast("long").alias("size"), F.sha1("payload").alias("sha1")), "warc-rows")
-    owners = light.groupBy("strong").agg(F.max("page_id").alias("owner"))
-    kinds = light.join(owners, "strong").withColumn("revisit", (F.col("size") >= REVISIT_BYTES) & F.coalesce(F.col("page_id") != F.col("owner"), F.col("page_id").isNull() & F.col("owner").isNotNull()))
+    owners = C.staged(light.groupBy("strong").agg(F.max("page_id").alias("owner"), F.count(F.lit(1)).alias("__n")), "warc-owners")
+    kinds = C.hot_join(light, owners, ["strong"]).withColumn("revisit", (F.col("size") >= REVISIT_BYTES) & F.coalesce(F.col("page_id") != F.col("owner"), F.col("page_id").isNull() & F.col("owner").isNotNull()))
 
     def heads(batches):
         for batch in batches:
             got = batch.to_pydict()
             out = [record_head(p, u, "revisit" if r else "response", o, n, bytes.fromhex(d), date) for p, u, r, o, n, d in zip(*(got[c] for c in ("page_id", "url", "revisit", "owner", "size", "sha1")), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("strong"), pa.array([not r for r in got["revisit"]]), pa.array(out, pa.binary())], ["page_id", "strong", "stored", "head"])
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("strong"), pa.array([not r for r in got["revisit"]]), pa.array([o if r else None for r, o in zip(got["revisit"], got["owner"], strict=True)], pa.int64()), pa.array(out, pa.binary())], ["page_id", "strong", "stored", "refers_to", "head"])
 
     kinds.mapInArrow(heads, _HEADERS).write.parquet(f"{path}/headers")
     # rows of one digest hold equal bytes, so any of them is stored; copies met in one task are combined before the shuffle
@@ -75,28 +74,58 @@ def write_archive(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z
 
 
 def read_records(spark, path: str) -> DataFrame:
-    """page_id, strong, record: each record's bytes, rebuilt. A missing payload raises an error when it is read."""
+    """page_id, strong, refers_to, record: each record's bytes, rebuilt. A missing payload raises an error when it is read.
+
+    Small payloads that very many records hold are joined by broadcast: HOT_KEYS of them at most, each under REVISIT_BYTES.
+    """
     heads = spark.read.schema(_HEADERS).parquet(f"{path}/headers")
     payloads = spark.read.schema("strong string, payload binary").parquet(f"{path}/payloads")
     end = F.lit(bytearray(b"\r\n\r\n"))
-    full = heads.where("stored").join(payloads, "strong", "left").withColumn("payload", F.when(F.col("payload").isNull(), F.raise_error(F.concat(F.lit("no payload "), F.col("strong"))).cast("binary")).otherwise(F.col("payload")))
-    return full.select("page_id", "strong", F.concat("head", "payload", end).alias("record")).unionByName(heads.where("not stored").select("page_id", "strong", F.concat("head", end).alias("record")))
+    stored = heads.where("stored")
+    counts = C.staged(stored.groupBy("strong").agg(F.count(F.lit(1)).alias("n")), "warc-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("n") > max(C.HOT_ROWS, total // C.HOT_KEYS)).select("strong")
+    few = None
+    if not hot.isEmpty():
+        few = C.staged(payloads.join(F.broadcast(hot), "strong", "left_semi").where(F.octet_length("payload") < REVISIT_BYTES), "warc-hot")
+    rest = stored if few is None else stored.join(F.broadcast(few.select("strong")), "strong", "left_anti")
+    full = rest.join(payloads, "strong", "left").withColumn("payload", F.when(F.col("payload").isNull(), F.raise_error(F.concat(F.lit("no payload "), F.col("strong"))).cast("binary")).otherwise(F.col("payload")))
+    if few is not None:
+        full = full.unionByName(stored.join(F.broadcast(few), "strong"))
+    whole = full.select("page_id", "strong", "refers_to", F.concat("head", "payload", end).alias("record"))
+    return whole.unionByName(heads.where("not stored").select("page_id", "strong", "refers_to", F.concat("head", end).alias("record")))
+
+
+def verify_revisits(spark, path: str) -> None:
+    """Raises ValueError if a revisit refers to a page that has no stored record of the same digest."""
+    heads = spark.read.schema(_HEADERS).parquet(f"{path}/headers")
+    asked = heads.where("not stored").groupBy("strong", "refers_to").agg(F.count(F.lit(1)).alias("n"))
+    held = heads.where("stored").select("strong", F.col("page_id").alias("refers_to")).distinct()
+    lost = asked.join(held, ["strong", "refers_to"], "left_anti").agg(F.sum("n"), F.min("strong")).first()
+    if lost[0]:
+        raise ValueError(f"{lost[0]} revisits refer to no stored record, among them one of digest {lost[1]}")
 
 
 def read_back(spark, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to, parsed from the rebuilt and verified records."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, parsed from the rebuilt records.
+
+    Digests and lengths of stored payloads are verified, and that revisits refer to a stored record of the same digest; else an error is raised.
+    """
+    verify_revisits(spark, path)
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
     def run(batches):
         for batch in batches:
             rows = []
-            for page, strong, record in zip(*(batch.column(c).to_pylist() for c in ("page_id", "strong", "record")), strict=True):
+            for page, strong, owner, record in zip(*(batch.column(c).to_pylist() for c in ("page_id", "strong", "refers_to", "record")), strict=True):
                 fields, http, payload = parse_record(record)
                 digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:"))
-                back = fields["warc-refers-to"].removeprefix("<urn:page:").removesuffix(">") if fields["warc-type"] == "revisit" else None
+                back = int(fields["warc-refers-to"].removeprefix("<urn:page:").removesuffix(">")) if fields["warc-type"] == "revisit" else None
+                if back != owner:
+                    raise ValueError(f"record of page {page} refers to {back}, not to {owner}")
                 if back is None and (hashlib.sha256(payload).hexdigest() != strong or hashlib.sha1(payload).digest() != digest or len(payload) != int(http["content-length"])):
                     raise ValueError(f"payload of page {page} doesn't have its digest")
-                rows.append((page, int(http["content-length"]), digest.hex(), fields["warc-type"], None if back is None else int(back)))
+                rows.append((page, int(http["content-length"]), digest.hex(), fields["warc-type"], back))
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
@@ -105,7 +134,7 @@ def read_back(spark, path: str) -> DataFrame:
 
 
 def op8_warc(pages: DataFrame) -> DataFrame:
-    path = f"{C.shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    path = C.fresh_dir(pages.sparkSession, "warc")
     write_archive(pages, path)
     return read_back(pages.sparkSession, path)
 

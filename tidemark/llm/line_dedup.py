@@ -5,14 +5,15 @@ are duplicates if their words are equal or, from `min_fuzzy_words` words on, wit
 
 Equal lines are first brought down to their earliest place. If two lines are within one edit, half of their words, at the
 front or the back, are equal; only lines that share such a half with another emit all variants with one word deleted, as
-hashed keys. Lines that meet in a key are compared: two of equal length must miss the same word (a replaced word),
-and two whose lengths differ by one meet as a whole line and a variant (an inserted word). All members of such a
-group are within one edit of each other, so each is compared with the earliest one alone, and no pairs of a group arise.
+hashed keys. A key is the exclusive or of a hash of each word with its place, so that running sums over a line's words give all
+its variants in time linear in its words. Two lines of equal length that meet in a key of the same place may differ in that word, and
+two whose lengths differ by one meet as a whole line and a variant. Each is paired with the earliest line of its key alone, so no pairs of
+a group arise; the pair's edit distance is then verified on the words.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common as C
@@ -50,12 +51,37 @@ def line_keys(docs: DataFrame, min_fuzzy_words: int) -> DataFrame:
     return lines.select("__doc", "__line", F.xxhash64("__w").alias("__k1"), F.xxhash64(F.lit("b"), F.reverse("__w")).alias("__k2"), "__n", halves.alias("__halves"))
 
 
-def duplicate_lines(docs: DataFrame, min_fuzzy_words: int = 8) -> DataFrame:
-    """Places of the lines that go: __doc, __gone (line numbers from 0)."""
-    lines = C.staged(line_keys(docs, min_fuzzy_words), "line-keys")
-    key = ["__k1", "__k2"]
-    held = C.staged(lines.groupBy(*key).agg(F.min(_place()).alias("__first"), F.count(F.lit(1)).alias("__c")), "distinct-lines")
+def variants(words: DataFrame) -> DataFrame:
+    """For lines (__k1, __k2, __doc, __line, __n, __w: hashes of their words): key __v of the whole line (__del -1) and of it without each word (__del its place)."""
+    tokens = words.repartition("__k1", "__k2").select("__k1", "__k2", "__doc", "__line", "__n", F.posexplode("__w").alias("__i", "__h"))
+    tokens = tokens.withColumns({"__a": F.xxhash64("__h", "__i"), "__b": F.xxhash64("__h", F.col("__i") - 1)})
+    line = Window.partitionBy("__k1", "__k2")
+    upto = line.orderBy("__i").rowsBetween(Window.unboundedPreceding, 0)
+    sums = tokens.withColumns({"__ra": F.bit_xor("__a").over(upto), "__rb": F.bit_xor("__b").over(upto), "__ta": F.bit_xor("__a").over(line), "__tb": F.bit_xor("__b").over(line)})
+    without = F.col("__ra").bitwiseXOR(F.col("__a")).bitwiseXOR(F.col("__tb")).bitwiseXOR(F.col("__rb"))  # words before as they are, those after one place down
+    one = F.struct(F.col("__i").alias("__del"), without.alias("__v"))
+    whole = F.struct(F.lit(-1).alias("__del"), F.col("__ta").alias("__v"))
+    return sums.select("__k1", "__k2", "__doc", "__line", "__n", F.inline(F.when(F.col("__i") == 0, F.array(whole, one)).otherwise(F.array(one))))
+
+
+def _without(w: Column, i: Column) -> Column:
+    return F.concat(F.slice(w, F.lit(1), i), F.slice(w, i + 2, F.size(w)))
+
+
+def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Of pairs (__k1, __k2 and l1, l2: two lines; long1: whether the first has one word more, long2: whether the second; del: the place) those within one edit."""
+    pairs = C.staged(pairs.distinct(), "line-pairs")
+    held = words.select("__k1", "__k2", "__w")
+    asked = pairs.groupBy("l1", "l2").agg(F.count(F.lit(1)).alias("__n"))
+    other = C.staged(asked.join(held.select(F.col("__k1").alias("l1"), F.col("__k2").alias("l2"), F.col("__w").alias("o")), ["l1", "l2"]), "line-others")
+    both = C.hot_join(pairs, other, ["l1", "l2"]).join(held, ["__k1", "__k2"])
+    w, o, i = F.col("__w"), F.col("o"), F.col("del")
+    return both.where(F.when(F.col("long1"), _without(w, i) == o).when(F.col("long2"), _without(o, i) == w).otherwise((F.size(w) == F.size(o)) & (_without(w, i) == _without(o, i))))
+
 
+def near_lines(docs: DataFrame, lines: DataFrame, held: DataFrame) -> DataFrame:
+    """Keys of the lines within one edit of an earlier one."""
+    key = ["__k1", "__k2"]
     # lines that share a half with another line
     halves = lines.where("__halves is not null").select("__k1", F.explode("__halves").alias("__half"))
     shared = halves.groupBy("__half").agg(F.min("__k1").alias("a"), F.max("__k1").alias("b")).where("a < b").select("__half")
@@ -63,28 +89,43 @@ def duplicate_lines(docs: DataFrame, min_fuzzy_words: int = 8) -> DataFrame:
     near = lines.where("__halves is not null").select(*key, "__n", F.explode("__halves").alias("__half")).join(shared, "__half", "left_semi").select(*key).distinct()
     near = C.staged(near.join(held, key).select(*key, F.col("__first.doc").alias("__doc"), F.col("__first.line").alias("__line")), "near-lines")
 
-    # their words again, from the earliest place of each, and the variants
+    # their words again, from the earliest place of each; rows that repeat a doc_id may differ there
     text = docs.select(F.col("doc_id").alias("__doc"), F.posexplode_outer(lines_of(F.col("text"))).alias("__line", "__text"))
     words = text.join(_bounded(near), ["__doc", "__line"]).select("__doc", "__line", *key, words_of(F.col("__text")).alias("__w"))
-    # rows that repeat a doc_id may differ there
     words = words.where((F.xxhash64("__w") == F.col("__k1")) & (F.xxhash64(F.lit("b"), F.reverse("__w")) == F.col("__k2")))
     words = C.staged(words.select("__doc", "__line", *key, F.size("__w").alias("__n"), F.transform("__w", lambda w: F.xxhash64(w)).alias("__w")).distinct(), "near-words")
-    deleted = F.transform(F.sequence(F.lit(0), F.col("__n") - 1), lambda i: F.struct(i.alias("del"), F.xxhash64(F.slice("__w", F.lit(1), i), F.slice("__w", i + 2, F.col("__n"))).alias("key")))
-    whole = F.array(F.struct(F.lit(-1).alias("del"), F.xxhash64("__w").alias("key")))
-    variants = words.select("__doc", "__line", *key, "__n", F.inline_outer(F.concat(whole, deleted))).withColumnRenamed("key", "__v")
-    met = variants.groupBy("__v").agg(F.min("__k1").alias("a"), F.max("__k1").alias("b")).where("a < b").select("__v")
-    met = C.staged(variants.join(_bounded(C.staged(met, "met-variants")), "__v", "left_semi"), "met-lines")
-
-    # one word replaced: equal length and place; one word inserted: a whole line and a variant of one word more
-    replaced = met.where("del >= 0").groupBy("__v", "__n", "del").agg(F.min(_place()).alias("__least"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    late = met.join(replaced, ["__v", "__n", "del"]).where(_place() > F.col("__least")).select(*key)
-    longer = met.where("del >= 0").select("__v", (F.col("__n") - 1).alias("__n"), F.col("__k1").alias("l1"), F.col("__k2").alias("l2"), _place().alias("__long"))
-    both = met.where("del = -1").select("__v", "__n", *key, _place().alias("__short")).join(longer, ["__v", "__n"])
-    later = both.select(F.when(F.col("__short") > F.col("__long"), F.struct(F.col("__k1").alias("a"), F.col("__k2").alias("b"))).otherwise(F.struct(F.col("l1").alias("a"), F.col("l2").alias("b"))).alias("x"))
-    fuzzy = late.unionByName(later.select(F.col("x.a").alias("__k1"), F.col("x.b").alias("__k2"))).distinct().withColumn("__fuzzy", F.lit(True))
-
-    marks = held.join(fuzzy, key, "left").where("__c > 1 or __fuzzy").select(*key, "__first", F.coalesce("__fuzzy", F.lit(False)).alias("__fuzzy"))
-    gone = lines.join(_bounded(C.staged(marks, "line-marks")), key).where(F.col("__fuzzy") | (_place() > F.col("__first")))
+
+    every = C.staged(variants(words), "variants")
+    met = every.groupBy("__v").agg(F.min("__k1").alias("a"), F.max("__k1").alias("b")).where("a < b").select("__v")
+    met = C.staged(every.join(_bounded(C.staged(met, "met-variants")), "__v", "left_semi"), "met-lines")
+    C.unstage(every)
+
+    # one word replaced: equal length and place
+    least = F.struct("__doc", "__line", F.col("__k1").alias("l1"), F.col("__k2").alias("l2"))
+    replaced = met.where("__del >= 0").groupBy("__v", "__n", "__del").agg(F.min(least).alias("x"), F.count(F.lit(1)).alias("c")).where("c > 1").select("__v", "__n", "__del", "x", F.col("c").alias("__c"))
+    late = C.hot_join(met, C.staged(replaced, "replaced"), ["__v", "__n", "__del"], count="__c").where(_place() > F.struct("x.__doc", "x.__line"))
+    pairs = late.select(*key, "x.l1", "x.l2", F.lit(False).alias("long1"), F.lit(False).alias("long2"), F.col("__del").alias("del"))
+    # one word inserted: a whole line and a variant of one word more; the later of the two goes
+    longer = met.where("__del >= 0").withColumn("__n", F.col("__n") - 1)
+    whole = met.where("__del = -1").groupBy("__v", "__n").agg(F.min(least).alias("x"))
+    whole = C.staged(whole.join(longer.groupBy("__v", "__n").agg(F.count(F.lit(1)).alias("__c")), ["__v", "__n"]), "wholes")
+    both = C.hot_join(longer, whole, ["__v", "__n"], count="__c").withColumn("first", _place() > F.struct("x.__doc", "x.__line"))
+    one, two = F.struct(*key), F.struct(F.col("x.l1").alias("__k1"), F.col("x.l2").alias("__k2"))
+    both = both.select(F.when(F.col("first"), one).otherwise(two).alias("a"), F.when(F.col("first"), two).otherwise(one).alias("b"), "first", F.col("__del").alias("del"))
+    inserted = both.select(F.col("a.__k1").alias("__k1"), F.col("a.__k2").alias("__k2"), F.col("b.__k1").alias("l1"), F.col("b.__k2").alias("l2"), F.col("first").alias("long1"), (~F.col("first")).alias("long2"), "del")
+    return verified(pairs.unionByName(inserted), words).select(*key).distinct()
+
+
+def duplicate_lines(docs: DataFrame, min_fuzzy_words: int = 8) -> DataFrame:
+    """Places of the lines that go: __doc, __gone (line numbers from 0)."""
+    lines = C.staged(line_keys(docs, min_fuzzy_words), "line-keys")
+    key = ["__k1", "__k2"]
+    held = C.staged(lines.groupBy(*key).agg(F.min(_place()).alias("__first"), F.count(F.lit(1)).alias("__c")), "distinct-lines")
+    fuzzy = near_lines(docs, lines, held).withColumn("__fuzzy", F.lit(True))
+    marks = held.join(fuzzy, key, "left").where("__c > 1 or __fuzzy").select(*key, "__first", F.coalesce("__fuzzy", F.lit(False)).alias("__fuzzy"), "__c")
+    marks = C.staged(marks, "line-marks")
+    found = lines.join(F.broadcast(marks), key) if marks.count() <= BROADCAST_ROWS else C.hot_join(lines, marks, key, count="__c")
+    gone = found.where(F.col("__fuzzy") | (_place() > F.col("__first")))
     return gone.groupBy("__doc").agg(F.sort_array(F.collect_set("__line")).alias("__gone"))
 
 
@@ -93,21 +134,25 @@ def dedup_lines(docs: DataFrame, min_fuzzy_words: int = 8) -> DataFrame:
 
     Lines are judged on the input. Lines without a word stay, so an empty text stays as it is. Null text stays null, with
     n_lines 0. Rows with a null doc_id have no place in the order: they take no part and stay whole. Rows that repeat a
-    doc_id hold the same places, which are judged together. Variants of a line take time with the square of its words.
+    doc_id hold the same places, which are judged together. Of lines at one place the first by words counts. Other columns stay,
+    whatever their names, but n_lines and n_removed of docs are replaced. An empty table gives no rows. A line of any length takes time
+    linear in its words.
     """
     gone = duplicate_lines(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), min_fuzzy_words)
-    out = docs.join(gone, F.col("doc_id") == F.col("__doc"), "left")
-    lines = lines_of(F.col("text"))
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-    return out.withColumns({
-        "n_lines": F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
-        "n_removed": F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long"),
-        "text": F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept),
-    }).drop("__doc", "__gone")
+    out = C.packed_row(docs).join(gone, F.col("row.doc_id") == F.col("__doc"), "left")
+    text, numbers = F.col("row.text"), F.col("__gone")
+    lines = lines_of(text)
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(numbers, i)), "\n")
+    return C.unpacked_row(
+        out, docs.columns,
+        text=F.when(numbers.isNull(), text).otherwise(kept),
+        n_lines=F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"),
+        n_removed=F.when(numbers.isNull(), F.lit(0)).otherwise(F.size(numbers)).cast("long"),
+    )
 
 
 def op9_line_dedup(docs: DataFrame) -> DataFrame:
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return dedup_lines(docs.select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 ORACLE = r"""

@@ -1,9 +1,9 @@
-"""Secret scan with a trigram index. DataFrame functions only.
+"""Secret scan with a trigram inverted index. DataFrame functions only.
 
-From each rule's regular expression a Boolean trigram query is derived. The index holds the trigrams that the queries
-name. It is partitioned by document: a document's postings, one bit for each trigram, stay with its row, so that an intersection is
-a bitwise AND and moves no data. Rules run over the documents that satisfy their query; a rule without a mandatory
-trigram (hex runs) runs over all.
+From each rule's regular expression a Boolean trigram query is derived. The index is a table of postings (trigram, text), of the trigrams
+that the queries name; a text is told by 128 bits, so that copies are one entry. The postings of a text's trigrams meet in a sum of bits,
+on which the queries' intersections and unions are computed: that gives each rule's candidates. Rules are verified over their candidates; a
+rule without a mandatory trigram (hex runs) scans all texts.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm import common as C  # noqa: F401
+from tidemark.llm import common as C
 from tidemark.llm.trigrams import trigram_query, trigrams_of
 
 
@@ -48,27 +48,34 @@ ADDED = (
 )
 
 
+#: Candidates up to which they are broadcast; beyond it they are joined by a shuffle, a text's rows being dealt to SALTS parts.
+BROADCAST_ROWS = 1_000_000
+SALTS = 16
+
+
 class TrigramIndex:
-    """The trigrams of some rules' queries, as bits of long columns, 62 to a column."""
+    """Postings of the trigrams of some rules' queries, and the rules' candidates."""
 
     def __init__(self, rules: tuple[Rule, ...]):
         self.queries = {r.kind: trigram_query(r.pattern) for r in rules}
         self.terms = sorted(set().union(*map(trigrams_of, self.queries.values())))
 
-    def postings(self, docs: DataFrame, low: str) -> DataFrame:
-        """docs with columns __t0, __t1, ...: which terms the lower-case text in column `low` holds."""
-        for k in range(0, len(self.terms), 62):
-            bits = [F.when(F.contains(F.col(low), F.lit(t)), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, t in enumerate(self.terms[k : k + 62])]
-            docs = docs.withColumn(f"__t{k // 62}", sum(bits[1:], bits[0]))
-        return docs
+    def postings(self, docs: DataFrame, text: Column) -> DataFrame:
+        """term (its number), c1, c2: each trigram of the queries with each text that holds it in any case."""
+        low = docs.select(*C.text_key(text), F.lower(text).alias("low"))
+        held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(i)) for i, t in enumerate(self.terms)]))
+        return low.select(F.explode(held).alias("term"), "c1", "c2").distinct()
 
-    def columns(self) -> list[str]:
-        return [f"__t{k // 62}" for k in range(0, len(self.terms), 62)]
+    def candidates(self, postings: DataFrame) -> DataFrame:
+        """c1, c2, rules: for each text that satisfies a query that can be missed the bits of the rules, in their order."""
+        bits = lambda k: F.bit_or(F.when((F.col("term") >= k) & (F.col("term") < k + 62), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("term") - k)).otherwise(F.lit(0).cast("long")))
+        met = postings.groupBy("c1", "c2").agg(*[bits(k).alias(f"t{k // 62}") for k in range(0, len(self.terms), 62)])
+        named = [(i, q) for i, q in enumerate(self.queries.values()) if q is not True]
+        mask = sum((F.when(self.holds(q), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, q in named), F.lit(0).cast("long"))
+        return met.select("c1", "c2", mask.alias("rules")).where("rules <> 0")
 
     def holds(self, query: object) -> Column:
-        """Whether a document's postings satisfy a query."""
-        if query is True:
-            return F.lit(True)
+        """Whether a text's trigrams satisfy a query."""
         if isinstance(query, str):
             query = ("and", [query])
         kind, parts = query
@@ -86,7 +93,7 @@ class TrigramIndex:
             else:
                 found = found & self.holds(q)
         for k, m in masks.items():
-            found = found & (F.col(f"__t{k}").bitwiseAND(F.lit(m)) == m)
+            found = found & (F.col(f"t{k}").bitwiseAND(F.lit(m)) == m)
         return found
 
 
@@ -108,22 +115,33 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED, text:
     """docs with spans: array of (start, kind, name, end) in code points, by start, then rule order.
 
     Matches of one rule are leftmost and don't overlap; a match too short takes its place but isn't reported. Null text counts as
-    empty and has no span. Other columns stay; helper columns start with two underscores.
+    empty and has no span; repeated rows and null ids are rows like any others. Other columns stay, whatever their names, but a column
+    `spans` of docs is replaced. An empty table gives no rows. At most 62 rules.
     """
     index = TrigramIndex(rules)
-    out = docs.withColumn("__text", F.coalesce(F.col(text), F.lit(""))).withColumn("__low", F.lower("__text"))
-    out = index.postings(out, "__low").drop("__low")
-    names = []
-    for i, r in enumerate(rules):
-        # regexp_extract_all and split walk the text alike, so pieces and matches alternate
-        out = out.withColumn(f"__m{i}", F.when(index.holds(index.queries[r.kind]), F.regexp_extract_all("__text", F.lit(r.pattern), F.lit(0))))
+    rows = C.packed_row(docs)
+    body = F.coalesce(F.col("row").getField(text).cast("string"), F.lit(""))
+    found = C.staged(index.candidates(C.staged(index.postings(rows, body), "postings")), "candidates") if index.terms else None
+    out = rows.withColumn("body", body)
+    if found is not None:
+        out = out.withColumns(dict(zip(("c1", "c2"), C.text_key(F.col("body")), strict=True)))
+        if found.count() <= BROADCAST_ROWS:
+            out = out.join(F.broadcast(found), ["c1", "c2"], "left")
+        else:
+            found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            out = out.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(found, ["c1", "c2", "salt"], "left")
+    asked = {r.kind: F.lit(True) if index.queries[r.kind] is True else F.coalesce(F.col("rules").bitwiseAND(F.lit(1 << i)) != 0, F.lit(False)) for i, r in enumerate(rules)}
+    # regexp_extract_all and split walk the text alike, so pieces and matches alternate
+    out = out.withColumns({f"m{i}": F.when(asked[r.kind], F.regexp_extract_all("body", F.lit(r.pattern), F.lit(0))) for i, r in enumerate(rules)})
+    more = {}
     for i, r in enumerate(rules):
-        some = F.size(F.col(f"__m{i}")) > 0
-        out = out.withColumn(f"__p{i}", F.when(some, F.split("__text", r.pattern, -1)))
-        out = out.withColumn(f"__g{i}", F.when(some, F.regexp_extract_all("__text", F.lit(r.pattern), F.lit(r.group))) if r.group else F.col(f"__m{i}"))
-        names += [f"__m{i}", f"__p{i}", f"__g{i}"]
-    spans = F.array_sort(F.concat(*[_spans(F.col(f"__m{i}"), F.col(f"__g{i}"), F.col(f"__p{i}"), r, i) for i, r in enumerate(rules)]))
-    return out.withColumn("spans", spans).drop("__text", *index.columns(), *names)
+        some = F.size(F.col(f"m{i}")) > 0
+        more[f"p{i}"] = F.when(some, F.split("body", r.pattern, -1))
+        if r.group:
+            more[f"g{i}"] = F.when(some, F.regexp_extract_all("body", F.lit(r.pattern), F.lit(r.group)))
+    out = out.withColumns(more)
+    spans = [_spans(F.col(f"m{i}"), F.col(f"g{i}" if r.group else f"m{i}"), F.col(f"p{i}"), r, i) for i, r in enumerate(rules)]
+    return C.unpacked_row(out, docs.columns, spans=F.array_sort(F.concat(*spans)))
 
 
 def _joined(spans: Column) -> Column:

@@ -100,6 +100,52 @@ def test_language_sample_counts_distinct_texts(spark):
     assert sorted(r.text for r in language_id.labelled_sample(docs, 100).collect()) == sorted(set(texts))
 
 
+def ppm_bits(learnt, text):
+    """Code length of a text by context trees of orders 3 to 0 over byte strings, escape C."""
+    trees = collections.defaultdict(collections.Counter)
+    pad = b"\xff" * 3
+    for t in learnt:
+        b = pad + t.encode()
+        for i in range(3, len(b)):
+            for k in range(4):
+                trees[b[i - k : i]][b[i]] += 1
+    bits, b = 0.0, pad + text.encode()
+    for i in range(3, len(b)):
+        for k in (3, 2, 1, 0, None):
+            if k is None:
+                bits += math.log2(255)
+                break
+            seen = trees.get(b[i - k : i])
+            if seen is None:
+                continue
+            bottom = seen.total() + len(seen)
+            if b[i] in seen:
+                bits -= math.log2(seen[b[i]] / bottom)
+                break
+            bits -= math.log2(len(seen) / bottom)
+    return bits
+
+
+@pytest.mark.parametrize("most", [1 << 30, 1], ids=["one model", "one for each language"])
+def test_language_code_lengths(spark, most):
+    """Exact code lengths of every language, for texts with bytes, contexts and scripts never learnt, whatever the number of models."""
+    learnt = {"a": ["the cat sat", "the mat"], "b": ["ein Hund läuft", ""], "c": ["кот и пёс", "漢字"]}
+    texts = ["the hund", "漢字 кот", "\x00~~", "läuft läuft", "z", "q" * 500, "1 2 3", ""]
+    sample = spark.createDataFrame([(k, t) for k, ts in learnt.items() for t in ts], "lang string, text string")
+    models = list(language_id.train(sample, most))
+    assert [x for m in models for x in m.langs] == ["a", "b", "c"] and len(models) == (1 if most > 1 else 3)
+    raw = [t.encode() for t in texts]
+    data, off = np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(x) for x in raw])]
+    want = np.array([[ppm_bits(learnt[k], t) for k in "abc"] for t in texts])
+    assert np.concatenate([m.lengths(data, off) for m in models], 1) == pytest.approx(want, rel=1e-5)
+    got = language_id.predict(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string"), models).sort("i").collect()
+    for r, bits in zip(got, want, strict=True):
+        if any(c.isalpha() for c in r.text):
+            assert r.lang_pred == "abc"[bits.argmin()] and r.score == pytest.approx(1 / sum(2 ** (bits.min() - bits)), rel=1e-3)
+        else:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+
+
 def test_language_accuracy(spark):
     docs = table(spark, SF, "documents")
     held = language_id.op2_language_id(docs).join(docs.select("doc_id", "lang", "n_chars"), "doc_id").where("held_out and n_chars > 30").collect()

@@ -2,17 +2,20 @@
 
 For each language a byte context tree of orders 3 to 0 is counted over a bounded sample of labelled documents and then frozen.
 A byte's code length in a context where it was seen c times of n, among d distinct bytes, is -log2(c / (n + d)); else the
-escape -log2(d / (n + d)) is paid and the next shorter context is asked; below order 0 all symbols are equally likely.
-A document gets the language of least total code length over all its bytes.
+escape -log2(d / (n + d)) is paid and the next shorter context is asked; below order 0 all bytes are equally likely.
+A document gets the language of least total code length over all its bytes. Every context that was seen is kept, and all bytes are told apart.
 
-All languages' lengths of a (context, byte) lie side by side in one table of bounded size, so that each byte costs two look-ups.
+The code lengths of some languages lie side by side: for every sequence of four or three bytes that one of them saw, and for every pair.
+Languages are dealt to models of about MODEL_BYTES, one language at least, each of which is broadcast; documents pass through one model after
+the other, carrying the best language so far, and don't move.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +27,10 @@ from tidemark.llm import common as C
 SAMPLE = 2000
 #: Languages up to which their sizes are broadcast; beyond it the join is a shuffle.
 BROADCAST_LANGS = 100_000
-#: Bytes of the frozen table; contexts of order 3 fill it by falling count, all shorter ones are always in it.
+#: Bytes of the languages that are broadcast at once.
 MODEL_BYTES = 48 << 20
-SYMBOLS = 128  # 0: before the text; 1 to 126: the sample's most frequent bytes; 127: any other
-
-_LETTER = regex.compile(r"\p{L}")
+#: Stands before a text; no byte of UTF-8 has this value.
+BEFORE = 0xFF
 
 
 def labelled_sample(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
@@ -43,70 +45,96 @@ def labelled_sample(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     return thin.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= most).select("lang", "text")
 
 
-def _symbols(data: np.ndarray, off: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of texts laid end to end, each after three boundary symbols; and where each text's own symbols begin."""
-    n = len(off) - 1
-    at = np.arange(len(data)) + 3 * (np.repeat(np.arange(n), np.diff(off)) + 1)
-    out = np.zeros(len(data) + 3 * n, np.int64)
-    out[at] = code[data]
-    return out, at
+def _contexts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Each byte with the three before it in its text, the oldest first, as one number."""
+    at = np.arange(len(data)) - np.repeat(off[:-1], np.diff(off))
+    out = data.astype(np.uint32)
+    for k in (1, 2, 3):
+        before = np.full(len(data), BEFORE, np.uint32)
+        before[k:] = data[: len(data) - k]
+        before[at < k] = BEFORE
+        out |= before << np.uint32(8 * k)
+    return out
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, rising, and their sums."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(keys) else n
+
+
+def _found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of keys in a rising table, and which are there."""
+    if not len(table):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return at, table[at] == keys
+
+
+class Tree:
+    """One language's counts. keys[k], n[k]: sequences of k + 1 bytes; contexts[k], total[k], kinds[k]: what precedes their last byte."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray):
+        self.keys, self.n, self.contexts, self.total, self.kinds = [], [], [], [], []
+        for k in range(4):
+            keys, count = _summed(grams & np.uint32((1 << 8 * (k + 1)) - 1), n)
+            contexts, total = _summed(keys >> np.uint32(8), count)
+            _, kinds = _summed(keys >> np.uint32(8), np.ones(len(keys)))
+            for have, new in ((self.keys, keys), (self.n, count), (self.contexts, contexts), (self.total, total), (self.kinds, kinds)):
+                have.append(new)
+
+    def escape(self, k: int, contexts: np.ndarray) -> np.ndarray:
+        """Bits paid to leave contexts of k bytes; none if it was never seen."""
+        at, seen = _found(self.contexts[k], contexts)
+        total, kinds = self.total[k][at] if len(self.total[k]) else 1.0, self.kinds[k][at] if len(self.kinds[k]) else 1.0
+        return np.where(seen, -np.log2(kinds / (total + kinds)), 0.0)
+
+    def lengths(self, k: int, keys: np.ndarray) -> np.ndarray:
+        """Code lengths of sequences of k + 1 bytes, in contexts of k bytes and shorter."""
+        if k < 0:
+            return np.full(len(keys), np.log2(255.0))
+        below = self.lengths(k - 1, keys & np.uint32((1 << 8 * k) - 1 if k else 0))
+        at, seen = _found(self.keys[k], keys)
+        c_at, _ = _found(self.contexts[k], keys >> np.uint32(8))
+        out = self.escape(k, keys >> np.uint32(8)) + below
+        if seen.any():
+            own = -np.log2(self.n[k][at] / (self.total[k][c_at] + self.kinds[k][c_at]))
+            out[seen] = own[seen]
+        return out
+
+    def size(self) -> int:
+        return 4 * (65536 + sum(len(self.keys[k]) + len(self.contexts[k]) for k in (2, 3)))
 
 
 class Model:
-    """Frozen code lengths: rows[context of three symbols] is a row of table[row * SYMBOLS + symbol, language]."""
-
-    def __init__(self, langs: list[str], code: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray]]):
-        self.langs, self.code = langs, code
-        count = len(langs)
-        full = [np.zeros(0, np.int64)] * count
-        two = np.zeros((SYMBOLS * SYMBOLS * SYMBOLS, count), np.float32)
-        for k, (g, c) in enumerate(grams):
-            n3 = np.bincount(g & (SYMBOLS**3 - 1), c, SYMBOLS**3).reshape(-1, SYMBOLS)
-            n2 = n3.reshape(SYMBOLS, SYMBOLS, SYMBOLS).sum(0)
-            n1 = n2.sum(0)
-            base = np.full(SYMBOLS, np.log2(SYMBOLS - 1))
-            base = self._lengths(n1[None], base[None])
-            base = self._lengths(n2, np.broadcast_to(base, n2.shape))
-            two[:, k] = self._lengths(n3, np.tile(base, (SYMBOLS, 1))).reshape(-1)
-            full[k] = g
-        # all contexts that differ from order 1 (pairs that occur), then those of order 3 that fit; a pair never met has the row of its last symbol
-        pairs = two.reshape(SYMBOLS * SYMBOLS, SYMBOLS, count)
-        met = np.unique(np.concatenate([(g >> 7) & (SYMBOLS**2 - 1) for g in full])) if count else np.zeros(0, np.int64)
-        unmet = np.setdiff1d(np.arange(SYMBOLS**2), met)
-        last, first_of = np.unique(unmet & (SYMBOLS - 1), return_index=True)
-        of_two = np.zeros(SYMBOLS**2, np.int32)
-        of_two[met] = np.arange(len(met))
-        of_two[unmet] = len(met) + np.searchsorted(last, unmet & (SYMBOLS - 1))
-        shallow = np.concatenate([met, unmet[first_of]])
-        room = max(0, MODEL_BYTES // (SYMBOLS * count * 4) - len(shallow)) if count else 0
-        totals = sum((np.bincount(g >> 7, c, SYMBOLS**3) for g, c in grams), np.zeros(SYMBOLS**3))
-        deep = np.argsort(-totals, kind="stable")[:room]
-        deep = np.sort(deep[totals[deep] > 1])
-        self.rows = np.tile(of_two, SYMBOLS)
-        self.rows[deep] = len(shallow) + np.arange(len(deep))
-        table = np.zeros((len(shallow) + len(deep), SYMBOLS, count), np.float32)
-        table[: len(shallow)] = pairs[shallow]
-        for k, (g, c) in enumerate(grams):
-            place = np.minimum(np.searchsorted(deep, g >> 7), max(0, len(deep) - 1))
-            inside = deep[place] == g >> 7 if len(deep) else np.zeros(len(g), bool)
-            n4 = np.zeros((len(deep), SYMBOLS))
-            n4[place[inside], g[inside] & (SYMBOLS - 1)] = c[inside]
-            table[len(shallow) :, :, k] = self._lengths(n4, pairs[deep & (SYMBOLS**2 - 1), :, k])
-        self.table = table.reshape(-1, max(1, count))
-
-    @staticmethod
-    def _lengths(n: np.ndarray, below: np.ndarray) -> np.ndarray:
-        total, kinds = n.sum(-1, keepdims=True), (n > 0).sum(-1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = -np.log2(n / (total + kinds))
-            escaped = below - np.log2(kinds / (total + kinds))
-        return np.where(total == 0, below, np.where(n > 0, own, escaped)).astype(np.float32)
+    """Frozen code lengths of some languages. Sequences of four or three bytes that none has seen cost the escapes and the next shorter one."""
+
+    def __init__(self, langs: list[str], trees: list[Tree]):
+        self.langs, self.keys, self.bits, self.contexts, self.escapes = langs, {}, {}, {}, {}
+        side = lambda x: np.stack(x, 1).astype(np.float32)
+        for k in (2, 3):
+            self.keys[k] = np.unique(np.concatenate([t.keys[k] for t in trees]))
+            self.bits[k] = side([t.lengths(k, self.keys[k]) for t in trees])
+            self.contexts[k] = np.unique(np.concatenate([t.contexts[k] for t in trees]))
+            self.escapes[k] = side([t.escape(k, self.contexts[k]) for t in trees])
+        self.pairs = side([t.lengths(1, np.arange(65536, dtype=np.uint32)) for t in trees])
+
+    def _bits(self, k: int, keys: np.ndarray) -> np.ndarray:
+        if k == 1:
+            return self.pairs[keys]
+        at, seen = _found(self.keys[k], keys)
+        out = self.bits[k][at]
+        if not seen.all():
+            new = keys[~seen]
+            c_at, known = _found(self.contexts[k], new >> np.uint32(8))
+            out[~seen] = np.where(known[:, None], self.escapes[k][c_at], 0) + self._bits(k - 1, new & np.uint32((1 << 8 * k) - 1))
+        return out
 
     def lengths(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Code length in bits of each text under each language."""
-        s, at = _symbols(data, off, self.code)
-        context = self.rows[(s[at - 3] << 14) | (s[at - 2] << 7) | s[at - 1]].astype(np.int64)
-        bits = self.table[(context << 7) | s[at]]
+        bits = self._bits(3, _contexts(data, off))
         out = np.zeros((len(off) - 1, len(self.langs)))
         some = np.flatnonzero(np.diff(off))
         if len(some):
@@ -114,69 +142,64 @@ class Model:
         return out
 
 
-def train(sample: DataFrame) -> Model:
-    """Count four-symbol sequences of each language of a sample (lang, text)."""
-    sample = C.staged(sample, "language-sample")
-
-    def histogram(batches):
-        for batch in batches:
-            data, _ = C.utf8(batch.column("text"))
-            n = np.bincount(data, minlength=256)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(256), pa.int32()), pa.array(n, pa.int64())], ["b", "n"])
-
-    counts = np.zeros(256, np.int64)
-    for b, n in sample.mapInArrow(histogram, "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).collect():  # 256 rows
-        counts[b] = n
-    common = np.argsort(-counts, kind="stable")[: SYMBOLS - 2]
-    code = np.full(256, SYMBOLS - 1, np.uint8)
-    code[common] = 1 + np.arange(len(common))
+def train(sample: DataFrame, most: int = MODEL_BYTES) -> Iterator[Model]:
+    """Models of a sample (lang, text), each of about `most` bytes or one language. One language's counts at a time reach the driver."""
 
     def grams(batches):
         for batch in batches:
             langs = np.array(batch.column("lang").to_pylist(), object)
             data, off = C.utf8(batch.column("text"))
             for a, b in C.steps(off):
-                s, at = _symbols(data[off[a] : off[b]], off[a : b + 1] - off[a], code)
-                g = (s[at - 3] << 21) | (s[at - 2] << 14) | (s[at - 1] << 7) | s[at]
+                g = _contexts(data[off[a] : off[b]], off[a : b + 1] - off[a])
                 owner = np.repeat(langs[a:b], np.diff(off[a : b + 1]))
                 for lang in sorted(set(langs[a:b])):
                     key, n = np.unique(g[owner == lang], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key, pa.int32()), pa.array(n, pa.int64())], ["lang", "g", "n"])
-
-    found = sample.mapInArrow(grams, "lang string, g int, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
-    got = found.toArrow()  # at most SAMPLE documents for each language
-    langs = np.array(got.column("lang").to_pylist(), object)
-    g, n = got.column("g").to_numpy().astype(np.int64), got.column("n").to_numpy().astype(np.float64)
-    names = sorted(set(langs))
-    parts = []
-    for name in names:
-        own = langs == name
-        order = np.argsort(g[own])
-        parts.append((g[own][order], n[own][order]))
-    return Model(names, code, parts)
-
-
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score (0 to 1): the best language's share of likelihood, all being equally likely before."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MODEL_BYTES and a fixed table
-    out = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(n, pa.int64())], ["lang", "g", "n"])
+
+    counts = C.staged(sample.mapInArrow(grams, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")), "language-counts")
+    names, trees = [], []
+    for r in counts.select("lang").distinct().sort("lang").toLocalIterator():
+        got = counts.where(F.col("lang") == r["lang"]).select("g", "n").toArrow()  # at most SAMPLE documents
+        tree = Tree(got.column("g").to_numpy().astype(np.uint32), got.column("n").to_numpy().astype(np.float64))
+        if names and (len(names) + 1) * sum(t.size() for t in [*trees, tree]) > most:
+            yield Model(names, trees)
+            names, trees = [], []
+        names, trees = [*names, r["lang"]], [*trees, tree]
+    if names:
+        yield Model(names, trees)
+
+
+def predict(docs: DataFrame, models: Iterable[Model], text: str = "text") -> DataFrame:
+    """docs (whose columns' names don't begin with two underscores) with lang_pred and score (0 to 1): the best language's share of likelihood, all being equally likely before."""
+    state = [T.StructField("__lang", T.StringType()), T.StructField("__best", T.DoubleType()), T.StructField("__rest", T.DoubleType())]
+    schema = T.StructType([*docs.schema.fields, *state])
+    out = docs.withColumns({f.name: F.lit(None).cast(f.dataType) for f in state})
+    for model in models:
+        out = out.mapInArrow(_pass(docs.sparkSession.sparkContext.broadcast(model), text), schema)
+    # __rest: sum of 2 ** (__best - bits) over all languages met, which is 1 for the best itself
+    lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)) & F.col("__lang").isNotNull()
+    return out.select(*docs.columns, F.when(lettered, F.col("__lang")).otherwise("und").alias("lang_pred"), F.when(lettered, 1 / F.col("__rest")).otherwise(0.0).alias("score"))
+
+
+def _pass(shared, text: str):
+    """One model's turn: the best language of those met so far, its bits, and the sum of likelihoods relative to it."""
 
     def run(batches):
         m = shared.value
         for batch in batches:
             data, off = C.utf8(batch.column(text))
-            said, score = np.full(len(off) - 1, "und", object), np.zeros(len(off) - 1)
-            letters = np.array([t is not None and _LETTER.search(t) is not None for t in batch.column(text).to_pylist()], bool)
-            if m.langs:
-                for a, b in C.steps(off):
-                    bits = m.lengths(data[off[a] : off[b]], off[a : b + 1] - off[a])
-                    best = bits.argmin(1)
-                    said[a:b] = np.array(m.langs, object)[best]
-                    score[a:b] = 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
-                said[~letters], score[~letters] = "und", 0.0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, pa.string()), pa.array(score)], [*batch.schema.names, "lang_pred", "score"])
+            bits = np.concatenate([np.zeros((0, len(m.langs))), *(m.lengths(data[off[a] : off[b]], off[a : b + 1] - off[a]) for a, b in C.steps(off))])
+            at, least = bits.argmin(1), bits.min(1)
+            before = batch.column("__best").to_numpy(zero_copy_only=False).astype(np.float64)
+            before, rest = np.where(np.isnan(before), np.inf, before), np.nan_to_num(batch.column("__rest").to_numpy(zero_copy_only=False).astype(np.float64))
+            better = least < before
+            best = np.minimum(least, before)
+            share = lambda x: np.exp2(np.maximum(best - x, -1000))
+            total = np.where(rest > 0, rest * share(np.where(np.isinf(before), best, before)), 0) + share(bits.T).sum(0)
+            lang = np.where(better, np.array(m.langs, object)[at], np.array(batch.column("__lang").to_pylist(), object))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(lang, pa.string()), pa.array(best), pa.array(total)], batch.schema.names)
 
-    return docs.mapInArrow(run, out)
+    return run
 
 
 def identify(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -187,8 +210,8 @@ def identify(docs: DataFrame, held_out: Column) -> DataFrame:
     Texts are read whole, to the last byte.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), held_out.alias("held_out"))
-    model = train(labelled_sample(rows.where(~F.col("held_out")).select("text", "lang")))
-    return predict(rows.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    sample = C.staged(labelled_sample(rows.where(~F.col("held_out")).select("text", "lang")), "language-sample")
+    return predict(rows.select("doc_id", "held_out", "text"), train(sample)).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op2_language_id(docs: DataFrame) -> DataFrame:

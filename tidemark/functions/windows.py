@@ -33,6 +33,11 @@ def trailing(fn, c: Column, n: int, least: int | None = None) -> Column:
     return F.when(full(n) & (F.count(c).over(before(n)) >= least), fn(c).over(before(n)))
 
 
+def filled(c: Column | str) -> Column:
+    """The last valid value up to the current row."""
+    return F.last(c, ignorenulls=True).over(by_symbol().rowsBetween(Window.unboundedPreceding, 0))
+
+
 def simple_return(c: Column, n: int) -> Column:
     return F.when(lag(c, n) > 0, c / lag(c, n) - 1)
 
@@ -48,8 +53,15 @@ def ffd_weights(d: float = 0.4, threshold: float = 1e-3) -> list[float]:
 
 def ffd(c: Column, d: float = 0.4, threshold: float = 1e-3) -> Column:
     """Fixed-width fractional difference of the rows before the current one; null if any is missing."""
-    terms = [F.lit(w) * lag(c, k) for k, w in enumerate(ffd_weights(d, threshold), 1)]
-    return sum(terms[1:], terms[0])
+    weights = ffd_weights(d, threshold)[::-1]
+    rows = F.collect_list(c).over(before(len(weights)))  # the valid ones, oldest first
+    products = F.zip_with(rows, F.lit(weights), lambda x, w: x * w)
+    return F.when(F.size(rows) == len(weights), F.aggregate(products, F.lit(0.0), lambda a, x: a + x))
+
+
+def normalised_ffd(c: Column, d: float = 0.4, threshold: float = 1e-3) -> Column:
+    """The fractional difference relative to the row's own value; null where that is 0."""
+    return F.when(c != 0, ffd(c, d, threshold) / c)
 
 
 def zscore_upto(c: Column, n: int = 100) -> Column:

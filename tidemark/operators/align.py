@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import inspect
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.windows import by_symbol
+from tidemark.operators.registry import FEATURES
+from tidemark.operators.targets import targets
 
 KEY = ["timestamp", "symbol"]
 
@@ -38,12 +41,26 @@ def at_events(events: DataFrame, table: DataFrame) -> DataFrame:
     return events.select(*KEY).join(table, KEY, "left")
 
 
+def wide(bars: DataFrame, features: dict[str, dict], specs: list[tuple[int, float, float]] = (), kind: str = "float") -> DataFrame:
+    """Keys, features (label: parameters) and targets of the bars, all over one exchange by symbol. Features whose operators can't carry
+    other columns (recursions, another symbol's returns) are joined."""
+    out, apart = bars, []
+    for label, params in features.items():
+        fn = FEATURES[label]
+        if "keep" in inspect.signature(fn).parameters:
+            out = fn(out, **params, keep=out.columns)
+        else:
+            apart.append(fn(bars, **params))
+    out = targets(out, list(specs), kind, keep=out.columns) if specs else out
+    return reduce(lambda a, b: a.join(b, KEY, "left"), apart, out.select(*KEY, *[c for c in out.columns if c not in bars.columns]))
+
+
 def full_join(tables: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, KEY, "full"), tables)
 
 
 def dataset(events: DataFrame, features: list[DataFrame], targets: DataFrame) -> DataFrame:
-    """Events with all features and targets, joined to the left; all share the key, so each side is shuffled once."""
+    """Events with all features and targets, joined to the left on their key. Each side is shuffled by it; `wide` gives one side for all of one table of bars."""
     return reduce(lambda a, b: a.join(b, KEY, "left"), [*features, targets], events.select(*KEY, "breakout_side"))
 
 

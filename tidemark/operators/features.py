@@ -1,10 +1,14 @@
-"""Feature operators: bars in, (timestamp, symbol) and feature columns out. Windows of one symbol share one shuffle and sort."""
+"""Feature operators: bars in, (timestamp, symbol) and feature columns out. Windows of one symbol share one shuffle and sort.
+
+Those with `keep` can give more of the bars' columns, so that features and targets are chained over one exchange (align.wide).
+"""
 
 from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.windows import by_symbol, ffd, full, lag, signed_log, simple_return, trailing, upto, zscore_upto
 from tidemark.operators.registry import feature
@@ -14,10 +18,10 @@ MINUTES_PER_YEAR = 252 * 24 * 60
 
 
 @feature("returns")
-def returns(bars: DataFrame, periods=(1, 5, 15, 30, 60, 120), price: str = "close", log: bool = False) -> DataFrame:
+def returns(bars: DataFrame, periods=(1, 5, 15, 30, 60, 120), price: str = "close", log: bool = False, keep=KEY) -> DataFrame:
     c = F.col(price)
     one = (lambda p: F.when(lag(c, p) > 0, F.log(c / lag(c, p)))) if log else (lambda p: simple_return(c, p))
-    return bars.select(*KEY, *[one(p).alias(f"return_{p}") for p in periods])
+    return bars.select(*keep, *[one(p).alias(f"return_{p}") for p in periods])
 
 
 def _recursive(bars: DataFrame, columns: list[str], kernel) -> DataFrame:
@@ -47,7 +51,7 @@ def ema(bars: DataFrame, periods=(5, 15, 30, 60, 120), price: str = "close", rel
 
 
 @feature("bollinger")
-def bollinger(bars: DataFrame, period: int = 20, deviations: float = 2.0, price: str = "close") -> DataFrame:
+def bollinger(bars: DataFrame, period: int = 20, deviations: float = 2.0, price: str = "close", keep=KEY) -> DataFrame:
     """Bands around the running sum of one-bar changes."""
     padded = bars.withColumn("__c", F.last(price, ignorenulls=True).over(by_symbol().rowsBetween(Window.unboundedPreceding, 0)))
     summed = padded.withColumn("__r", F.coalesce(F.when(lag("__c", 1) != 0, F.col("__c") / lag("__c", 1) - 1), F.lit(0.0))).withColumn("__s", F.sum("__r").over(by_symbol().rowsBetween(Window.unboundedPreceding, 0)))
@@ -55,17 +59,17 @@ def bollinger(bars: DataFrame, period: int = 20, deviations: float = 2.0, price:
     out = summed.withColumn("bb_middle", trailing(F.avg, s, period)).withColumn("__sd", trailing(F.stddev_pop, s, period))
     mid, half = F.col("bb_middle"), deviations * F.col("__sd")
     place = (s - (mid - half)) / (2 * half)
-    return out.select(*KEY, "bb_middle", (mid + half).alias("bb_upper"), (mid - half).alias("bb_lower"), F.when(half > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), place))).alias("bb_position"), F.when(mid > 0, 2 * half / mid).alias("bb_width"))
+    return out.select(*keep, "bb_middle", (mid + half).alias("bb_upper"), (mid - half).alias("bb_lower"), F.when(half > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), place))).alias("bb_position"), F.when(mid > 0, 2 * half / mid).alias("bb_width"))
 
 
 @feature("volatility")
-def volatility(bars: DataFrame, windows=(5, 10, 20, 30, 60), price: str = "close") -> DataFrame:
+def volatility(bars: DataFrame, windows=(5, 10, 20, 30, 60), price: str = "close", keep=KEY) -> DataFrame:
     out = bars.withColumn("__r", simple_return(F.col(price), 1))
-    return out.select(*KEY, *[(trailing(F.stddev_pop, F.col("__r"), w) * (MINUTES_PER_YEAR / w) ** 0.5).alias(f"volatility_{w}") for w in windows])
+    return out.select(*keep, *[(trailing(F.stddev_pop, F.col("__r"), w) * (MINUTES_PER_YEAR / w) ** 0.5).alias(f"volatility_{w}") for w in windows])
 
 
 @feature("indicators")
-def indicators(bars: DataFrame, rsi_period: int = 14, autocorr_lag: int = 1, autocorr_window: int = 14, zscore_window: int = 20, minmax_window: int = 20) -> DataFrame:
+def indicators(bars: DataFrame, rsi_period: int = 14, autocorr_lag: int = 1, autocorr_window: int = 14, zscore_window: int = 20, minmax_window: int = 20, keep=KEY) -> DataFrame:
     c = F.col("close")
     out = bars.withColumn("__d", F.coalesce(c - lag(c, 1), F.lit(0.0))).withColumn("__l", lag(c, autocorr_lag)).withColumn("__i", F.row_number().over(by_symbol()) - 1)
     gain, loss = F.avg(F.greatest(F.col("__d"), F.lit(0.0))).over(upto(rsi_period)), F.avg(F.greatest(-F.col("__d"), F.lit(0.0))).over(upto(rsi_period))
@@ -76,7 +80,7 @@ def indicators(bars: DataFrame, rsi_period: int = 14, autocorr_lag: int = 1, aut
     z = (c - trailing(F.avg, c, zscore_window)) / F.greatest(trailing(F.stddev_pop, c, zscore_window), F.lit(1e-8))
     low, high = trailing(F.min, c, minmax_window), trailing(F.max, c, minmax_window)
     return out.select(
-        *KEY, rsi.alias("rsi"), F.when(c > 0, F.col("open") / c).alias("open_close_ratio"), corr.alias("autocorr_lag1"), F.when(c > 0, (F.col("high") - F.col("low")) / c).alias("hl_range_pct"),
+        *keep, rsi.alias("rsi"), F.when(c > 0, F.col("open") / c).alias("open_close_ratio"), corr.alias("autocorr_lag1"), F.when(c > 0, (F.col("high") - F.col("low")) / c).alias("hl_range_pct"),
         F.when(z.isNotNull(), F.greatest(F.lit(-10.0), F.least(F.lit(10.0), z))).alias("close_zscore"), F.when(high > low, (c - low) / (high - low)).alias("close_minmax"),
     )
 
@@ -91,16 +95,18 @@ def on_balance_volume(bars: DataFrame, price: str = "close") -> DataFrame:
 
 
 @feature("volume")
-def volume(bars: DataFrame, ratio_period: int = 100, price: str = "close", zscore_window: int = 100) -> DataFrame:
+def volume(bars: DataFrame, ratio_period: int = 100, price: str = "close", zscore_window: int = 100, keep=KEY) -> DataFrame:
     out = on_balance_volume(bars, price).withColumn("__f", ffd(F.col("obv")))
     change = F.when(lag("obv", 1) != 0, (F.col("obv") - lag("obv", 1)) / F.abs(lag("obv", 1)))
     mean = trailing(F.avg, F.col("volume"), ratio_period)
-    return out.select(*KEY, zscore_upto(F.col("__f"), zscore_window).alias("obv_ffd_zscore"), signed_log(change).alias("obv_pct_change_log"), signed_log(F.when(mean > 0, F.col("volume") / mean)).alias("volume_ratio_log"))
+    return out.select(*keep, zscore_upto(F.col("__f"), zscore_window).alias("obv_ffd_zscore"), signed_log(change).alias("obv_pct_change_log"), signed_log(F.when(mean > 0, F.col("volume") / mean)).alias("volume_ratio_log"))
 
 
 @feature("garch")
 def garch(bars: DataFrame, omega: float = 0.1, alpha: float = 0.1, beta: float = 0.8, price: str = "close") -> DataFrame:
-    """Conditional volatility; its seed is the variance of all returns of the symbol, so early rows know the whole series."""
+    """Conditional volatility; its seed is the variance of all returns of the symbol, so early rows know the whole series. beta is under 1."""
+    if not 0 <= beta < 1:
+        raise ValueError(f"beta is from 0 to under 1, not {beta}")
     rows = bars.withColumn("r", F.coalesce(simple_return(F.col(price), 1), F.when(F.row_number().over(by_symbol()) == 1, F.lit(0.0))))
 
     def kernel(pdf):
@@ -114,12 +120,12 @@ def garch(bars: DataFrame, omega: float = 0.1, alpha: float = 0.1, beta: float =
 
 
 @feature("time_of_day")
-def time_of_day(bars: DataFrame, zone: str = "US/Eastern") -> DataFrame:
+def time_of_day(bars: DataFrame, zone: str = "US/Eastern", keep=KEY) -> DataFrame:
     t = F.from_utc_timestamp(F.col("timestamp").cast("timestamp"), zone)
     m = F.hour(t) * 60 + F.minute(t)
     # Bins end at 9:30, 10:30, 12:00, 14:00, 15:30 and with 16:00
     bins = F.when(m < 570, 0).when(m < 630, 1).when(m < 720, 2).when(m < 840, 3).when(m < 930, 4).when(m <= 960, 5).otherwise(6)
-    return bars.select(*KEY, F.hour(t).cast("double").alias("hour_of_day"), bins.cast("double").alias("time_of_day_bin"))
+    return bars.select(*keep, F.hour(t).cast("double").alias("hour_of_day"), bins.cast("double").alias("time_of_day_bin"))
 
 
 @feature("btc_features")
@@ -137,21 +143,21 @@ def reference_returns(bars: DataFrame, periods=(1, 5, 15, 30, 60, 120), patterns
 
 
 @feature("ffd_zscore")
-def ffd_zscore(bars: DataFrame, columns=("close", "volume"), window: int = 100, d: float = 0.4, threshold: float = 1e-3) -> DataFrame:
+def ffd_zscore(bars: DataFrame, columns=("close", "volume"), window: int = 100, d: float = 0.4, threshold: float = 1e-3, keep=KEY) -> DataFrame:
     out = bars.withColumns({f"__{c}": ffd(F.col(c), d, threshold) for c in columns})
-    return out.select(*KEY, *[zscore_upto(F.col(f"__{c}"), window).alias(f"ffd_zscore_{c}") for c in columns])
+    return out.select(*keep, *[zscore_upto(F.col(f"__{c}"), window).alias(f"ffd_zscore_{c}") for c in columns])
 
 
 @feature("ffd_volatility_zscore")
-def ffd_volatility_zscore(bars: DataFrame, price: str = "close", vol_window: int = 20, window: int = 100, log: bool = True) -> DataFrame:
+def ffd_volatility_zscore(bars: DataFrame, price: str = "close", vol_window: int = 20, window: int = 100, log: bool = True, keep=KEY) -> DataFrame:
     c = F.col(price)
     r = F.when((lag(c, 1) > 0) & (c > 0), F.log(c / lag(c, 1))) if log else F.when(lag(c, 1) != 0, c / lag(c, 1) - 1)
     out = bars.withColumn("__r", r).withColumn("__v", F.stddev_samp("__r").over(upto(vol_window))).withColumn("__f", ffd(F.col("__v")))
-    return out.select(*KEY, zscore_upto(F.col("__f"), window).alias(f"ffd_volatility_zscore_{price}"))
+    return out.select(*keep, zscore_upto(F.col("__f"), window).alias(f"ffd_volatility_zscore_{price}"))
 
 
 @feature("market_regime", listed=False)
-def market_regime(bars: DataFrame, windows=(240, 1440, 4320), price: str = "close") -> DataFrame:
+def market_regime(bars: DataFrame, windows=(240, 1440, 4320), price: str = "close", keep=KEY) -> DataFrame:
     """Moments of one-bar returns over the shortest window; class and z-score of volatility for each."""
     short = min(windows)
     quarter = lambda fn, c, w: trailing(fn, c, w, w // 4)
@@ -164,8 +170,23 @@ def market_regime(bars: DataFrame, windows=(240, 1440, 4320), price: str = "clos
     columns = [F.col("return_mean"), F.col("return_variance"), F.sqrt("return_variance").alias("return_volatility"), moment(F.skewness).alias("return_skewness"), moment(F.kurtosis).alias("return_excess_kurtosis")]
     for w in windows:
         v = F.col(f"__v{w}")
-        low, high = (quarter(lambda c, p=p: F.percentile(c, F.lit(p)), v, w) for p in (0.33, 0.66))
+        low, high = F.col(f"__low{w}"), F.col(f"__high{w}")
         mean, sd = trailing(F.avg, v, w), trailing(F.stddev_pop, v, w)
         z = (v - mean) / F.greatest(sd, F.lit(1e-8))
         columns += [F.when(v > high, 1.0).when(v < low, -1.0).otherwise(0.0).alias(f"volatility_regime_{w}"), F.when(z.isNotNull(), F.greatest(F.lit(-10.0), F.least(F.lit(10.0), z))).alias(f"volatility_zscore_{w}")]
-    return out.select(*KEY, *columns)
+    return _trailing_quantiles(out, windows).select(*keep, *columns)
+
+
+def _trailing_quantiles(rows: DataFrame, windows) -> DataFrame:
+    """rows with __low and __high of each window: the 33 % and 66 % points of __v over the rows before, by a sorted window that moves along."""
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(f"__{x}{w}", T.DoubleType()) for w in windows for x in ("low", "high")]])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("timestamp", kind="stable").reset_index(drop=True)
+        for w in windows:
+            frame = pdf[f"__v{w}"].astype(float).shift(1).rolling(w, min_periods=max(1, w // 4))
+            for x, q in (("low", 0.33), ("high", 0.66)):
+                pdf[f"__{x}{w}"] = frame.quantile(q).where(pdf.index >= w)
+        return pdf
+
+    return rows.groupBy("symbol").applyInPandas(run, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import align, events, features, targets
@@ -31,6 +31,13 @@ def _updates(spark: SparkSession, d: str) -> DataFrame:
     return _events(spark, d).select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"), F.col("event_type").alias("symbol"), "value", F.col("ts").alias("ingestion_timestamp"), "event_id")
 
 
+def _traded(spark: SparkSession, d: str) -> DataFrame:
+    """Updates with the volume so far within their hour."""
+    hour = Window.partitionBy("event_type", F.date_trunc("hour", "ts")).orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = _events(spark, d).withColumn("volume", F.sum(F.get_json_object("props", "$.k").cast("double")).over(hour))
+    return rows.select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("timestamp"), F.col("event_type").alias("symbol"), F.col("value").alias("close"), "volume", F.col("ts").alias("ingestion_timestamp"))
+
+
 def _feature(fn, digits: int = 6, **params):
     return lambda spark, d: rounded(fn(_bars(spark, d), **params), digits)
 
@@ -40,7 +47,7 @@ def _cumsum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _forward(bars: DataFrame) -> DataFrame:
-    return bars.select("timestamp", "symbol", F.round(targets.forward_return(3), 6).alias("label_forward_return_3m"))
+    return targets.with_filled(bars).select("timestamp", "symbol", F.round(targets.forward_return(3), 6).alias("label_forward_return_3m"))
 
 
 def _side(side: str):
@@ -59,9 +66,11 @@ def _orderbook(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _ml_data(spark: SparkSession, d: str) -> DataFrame:
+    """All features and targets over one exchange, then one join with the events."""
     bars = _bars(spark, d)
-    sides = [rounded(features.returns(bars, (1, 5))), rounded(features.volatility(bars, (5,)), 4)]
-    return align.dataset(events.cumsum_events(bars, 0.5), sides, _forward(bars))
+    side = align.wide(bars, {"returns": {"periods": (1, 5)}, "volatility": {"windows": (5,)}}, [(3, 0.9, 0.9)], "double")
+    out = events.cumsum_events(bars, 0.5).select(*align.KEY, "breakout_side").join(side, align.KEY, "left")
+    return out.select(*align.KEY, "breakout_side", *[F.round(c, 4 if c == "volatility_5" else 6).alias(c) for c in ("return_1", "return_5", "volatility_5", "label_forward_return_3m")])
 
 
 def _outer(spark: SparkSession, d: str) -> DataFrame:
@@ -105,7 +114,7 @@ QUERIES = {
     "cumsum_events": _cumsum,
     "reversal_events": lambda s, d: rounded(events.reversal_events(_bars(s, d), 0.5, 0.3)),
     "adaptive_events": lambda s, d: events.adaptive_events(_bars(s, d), 0.01),
-    "dollar_bars": lambda s, d: rounded(events.dollar_bars(_updates(s, d).withColumnsRenamed({"value": "close"}).withColumn("volume", F.lit(10.0)))),
+    "dollar_bars": lambda s, d: rounded(events.dollar_bars(_traded(s, d), 5e5), 4),
     "feature_resample": lambda s, d: align.at_events(_cumsum(s, d), rounded(features.returns(_bars(s, d), (1, 5)))),
     "target_resample": lambda s, d: align.at_events(_cumsum(s, d), _forward(_bars(s, d))),
     "sequence_rows": lambda s, d: _spread(align.sequence_rows(_bars(s, d).select("timestamp", "symbol", "close"), 4)),

@@ -103,12 +103,12 @@ def cache_targets(spark: SparkSession, raw: str, root: str, specs: list[tuple[in
 
 
 def cache_events(spark: SparkSession, raw: str, root: str, label: str, params: dict, since: str, until: str, overwrite: bool = False) -> str:
-    """Events of missing days. Filters start each UTC day anew; a New York day touches two of them, so one day more is read."""
+    """Events of missing days. Filters start each New York day anew, and days are stored by it, so no other day is read; the adaptive threshold reads back."""
     path = f"{root}/events/{key_of(label, params)}"
     todo = [d for d in days_of(spark, raw) if d in set(_calendar(since, until))] if overwrite else missing(spark, raw, path, since, until)
     if todo:
-        first = None if label == "adaptive" else todo[0] - timedelta(days=1)
-        _write(registry.FILTERS[label](_bars(spark, raw, first, todo[-1] + timedelta(days=1)), **params), path, todo)
+        first = None if label == "adaptive" else todo[0]
+        _write(registry.FILTERS[label](_bars(spark, raw, first, todo[-1]), **params), path, todo)
     return path
 
 

@@ -7,7 +7,8 @@ from tidemark.functions.windows import ffd_weights
 BARS = """t as (select event_type as symbol, date_trunc('hour', ts) as timestamp, value as p, ts, event_id, (props->>'$.k')::double as k from events),
 b as (select symbol, timestamp, arg_min(p, (ts, event_id)) as open, max(p) as high, min(p) as low, arg_max(p, (ts, event_id)) as close, sum(k)::double as volume from t group by symbol, timestamp)"""
 W = "partition by symbol order by timestamp"
-DAY = "partition by symbol, timestamp::date order by timestamp"
+NY = "timezone('America/New_York', timezone('UTC', timestamp))::date"
+DAY = f"partition by symbol, {NY} order by timestamp"
 
 
 def p(n):
@@ -46,7 +47,7 @@ slog = lambda x: f"sign({x}) * ln(1 + abs({x}))"
 clip = lambda x, a, b: f"case when {x} is not null then greatest({a}, least({b}, {x})) end"
 R = f", r as (select *, {ret('close', 1)} as r from b)"
 N = f", n as (select *, row_number() over ({W}) as i, count(*) over (partition by symbol) as all_ from b)"
-D = f""", d as (select symbol, timestamp, timestamp::date as day, close / lag(close) over ({DAY}) - 1 as r, row_number() over ({DAY}) - 1 as i from b)"""
+D = f""", d as (select symbol, timestamp, {NY} as day, close / lag(close) over ({DAY}) - 1 as r, row_number() over ({DAY}) - 1 as i from b)"""
 
 ORACLES: dict[str, str] = {
     "bars_hourly": final({c: c for c in ("open", "high", "low", "close", "volume")}),
@@ -110,7 +111,7 @@ ORACLES["reversal_events"] = f"""with recursive {BARS}{D}, s as (select symbol,
     from (select *, case when state = 1 and p <= ext and ext - p > 0.3 then 1 when state = -1 and q >= ext and q - ext > 0.3 then -1 else 0 end as e
       from (select d.symbol, d.day, d.timestamp, d.i, greatest(0, s.p + d.r) as p, least(0, s.q + d.r) as q, s.state, s.ext from s join d on d.symbol = s.symbol and d.day = s.day and d.i = s.i + 1) a) c)
     select timestamp, symbol, side::int as breakout_side, round(fin, 6) as s_final, round(fext, 6) as s_extreme from s where side <> 0"""
-ORACLES["adaptive_events"] = f"""with recursive {BARS}{N}, r0 as (select *, timestamp::date as day, coalesce(close / {lag('close', 1)} - 1, 0) as r from n), r1 as (select *, case when count(*) {u(60)} = 60 then 0.01 * 100 * stddev_samp(r) {u(60)} end as t from r0),
+ORACLES["adaptive_events"] = f"""with recursive {BARS}{N}, r0 as (select *, {NY} as day, coalesce(close / {lag('close', 1)} - 1, 0) as r from n), r1 as (select *, case when count(*) {u(60)} = 60 then 0.01 * 100 * stddev_samp(r) {u(60)} end as t from r0),
     d as (select *, row_number() over ({DAY}) as k from r1 where i > 1), s as (select symbol, day, null::timestamp as timestamp, 0::bigint as k, 0.0::double as p, 0.0::double as q, 0 as side from (select distinct symbol, day from d) z
     union all select symbol, day, timestamp, k, case when up then 0 else p end, case when down then 0 else q end, case when up or down then 1 else 0 end from (select *, coalesce(p > t, false) as up, not coalesce(p > t, false) and coalesce(q < -t, false) as down
       from (select d.symbol, d.day, d.timestamp, d.k, d.t, greatest(0, s.p + d.r) as p, least(0, s.q + d.r) as q from s join d on d.symbol = s.symbol and d.day = s.day and d.k = s.k + 1) a) c)

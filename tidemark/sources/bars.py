@@ -20,14 +20,20 @@ def event_bars(events: DataFrame, unit: str = "hour") -> DataFrame:
 
 def take_latest(updates: DataFrame, keys: list[str], ingested: str, *ties: str) -> DataFrame:
     """For each key the row ingested last, null being first of all; ties by the largest of further columns."""
-    order = [F.col(c).desc_nulls_last() for c in (ingested, *ties)]
-    return updates.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__r = 1").drop("__r")
+    return _best(updates, keys, F.max_by, ingested, *ties)
+
+
+def _best(updates: DataFrame, keys: list[str], fn, *order: str) -> DataFrame:
+    """For each key the row of the largest or smallest order, null being the smallest; partial results are combined before the shuffle."""
+    rest = [c for c in updates.columns if c not in keys]
+    best = updates.groupBy(*keys).agg(fn(F.struct(*rest), F.struct(*order)).alias("__u"))
+    return best.select(*[F.col(c) if c in keys else F.col("__u").getField(c).alias(c) for c in updates.columns])
 
 
 def collect_all_updates(updates: DataFrame, keys: list[str], since: str, until: str, *order: str) -> DataFrame:
     """Updates in [since, until), then the first of each key in the given order."""
     rows = updates.where((F.col("timestamp") >= F.lit(since).cast("timestamp_ntz")) & (F.col("timestamp") < F.lit(until).cast("timestamp_ntz")))
-    return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__r = 1").drop("__r")
+    return _best(rows, keys, F.min_by, *order)
 
 
 def raw_to_bars(raw: DataFrame) -> DataFrame:
@@ -41,6 +47,12 @@ def orderbook_latest(quotes: DataFrame, unit: str = "minute") -> DataFrame:
     return take_latest(rows, ["timestamp", "symbol"], "ingestion_timestamp", "quote_id")
 
 
+def orderbook_updates(quotes: DataFrame, since: str, until: str, unit: str = "minute") -> DataFrame:
+    """All-updates mode: of the quotes in [since, until) the first of each symbol and minute by ingestion, one never ingested being first."""
+    rows = quotes.withColumn("timestamp", F.date_trunc(unit, "timestamp").cast("timestamp_ntz"))
+    return collect_all_updates(rows, ["timestamp", "symbol"], since, until, "ingestion_timestamp", "quote_id")
+
+
 def upsample(bars: DataFrame, interval: str, columns: list[str]) -> DataFrame:
     """A regular grid from each symbol's first to last bar, filled forward; rows off the grid are left out."""
     ends = bars.groupBy("symbol").agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))

@@ -25,7 +25,8 @@ def write_days(df: DataFrame, path: str, ts: str = "timestamp", overwrite: bool
     spark = df.sparkSession
     if not overwrite and exists(spark, path):
         out = out.join(spark.read.parquet(path).select("date").distinct(), "date", "left_anti")
-    out.repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    # a day's rows meet, but a large day is dealt to several tasks and files
+    out.hint("rebalance", F.col("date")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, time, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-DAY_MS = 86_400_000
+from tidemark.sources.sinks import ZONE
+
 #: state of one (symbol, date): whether a bar was met, the last price, the two sums, the run's state and extreme, and the bars that wait
 STATE = "begun boolean, last double, p double, n double, run int, ext double, at array<long>, price array<double>"
 
@@ -46,9 +48,9 @@ def _reversal(threshold: float, reversal: float) -> Callable:
     return step
 
 
-def _filtered(bars: DataFrame, step: Callable, late: str, price: str) -> DataFrame:
+def _filtered(bars: DataFrame, step: Callable, late: str, price: str, zone: str) -> DataFrame:
     rows = bars.select("symbol", F.col("timestamp").cast("timestamp").alias("timestamp"), F.col(price).cast("double").alias("price"))
-    rows = rows.withWatermark("timestamp", late).withColumn("date", F.to_date("timestamp"))
+    rows = rows.withWatermark("timestamp", late).withColumn("date", F.to_date(F.from_utc_timestamp("timestamp", zone)))
 
     def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         begun, last, p, n, at_run, ext, at, prices = state.get if state.exists else (False, None, 0.0, 0.0, 0, 0.0, [], [])
@@ -64,13 +66,13 @@ def _filtered(bars: DataFrame, step: Callable, late: str, price: str) -> DataFra
                 break
             done += 1
             if begun:  # the day's first bar has no change
-                r = x / last - 1 if x is not None and last not in (None, 0.0) else None
+                r = (last if x is None else x) / last - 1 if last not in (None, 0.0) else None
                 p, n, at_run, ext, event = step(p, n, at_run, ext, r)
                 if event:
                     out.append((datetime.fromtimestamp(t / 1e6, timezone.utc).replace(tzinfo=None), key[0], *event))
-            begun, last = True, x
+            begun, last = True, last if x is None else x
         waiting = waiting[done:]
-        end = (key[1] - datetime(1970, 1, 1).date()) // timedelta(days=1) * DAY_MS + DAY_MS
+        end = int(datetime.combine(key[1] + timedelta(days=1), time(), ZoneInfo(zone)).timestamp() * 1000)
         if not waiting and mark >= end:
             state.remove()
         else:
@@ -83,11 +85,11 @@ def _filtered(bars: DataFrame, step: Callable, late: str, price: str) -> DataFra
     return found.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-def stream_cumsum_events(bars: DataFrame, threshold: float, late: str = "5 minutes", price: str = "close") -> DataFrame:
+def stream_cumsum_events(bars: DataFrame, threshold: float, late: str = "5 minutes", price: str = "close", zone: str = ZONE) -> DataFrame:
     """The events of cumsum_events, each sent when the watermark passes its bar, whatever the order of arrival."""
-    return _filtered(bars, _cumsum(threshold), late, price).drop("s_final", "s_extreme")
+    return _filtered(bars, _cumsum(threshold), late, price, zone).drop("s_final", "s_extreme")
 
 
-def stream_reversal_events(bars: DataFrame, threshold: float, reversal: float, late: str = "5 minutes", price: str = "close") -> DataFrame:
+def stream_reversal_events(bars: DataFrame, threshold: float, reversal: float, late: str = "5 minutes", price: str = "close", zone: str = ZONE) -> DataFrame:
     """The events of reversal_events, sent likewise."""
-    return _filtered(bars, _reversal(threshold, reversal), late, price)
+    return _filtered(bars, _reversal(threshold, reversal), late, price, zone)

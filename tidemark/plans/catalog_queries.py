@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import align, events, features, targets
-from tidemark.functions.windows import ffd
+from tidemark.functions.windows import ffd, normalised_ffd
 from tidemark.plans.oracles import ORACLES
 from tidemark.sources import bars as B
-from tidemark.sources import sinks
+from tidemark.sources import raw, sinks
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -60,9 +60,12 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.select("timestamp", "symbol", *[F.round(F.get("close", k), 6).alias(f"close_{3 - k}") for k in range(4)])
 
 
+def _quotes(spark: SparkSession, d: str) -> DataFrame:
+    return _events(spark, d).select(F.col("ts").alias("timestamp"), F.col("event_type").alias("symbol"), F.col("value").alias("price_ask"), (F.col("value") * 0.99).alias("price_bid"), F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("ingestion_timestamp"), F.col("event_id").alias("quote_id"))
+
+
 def _orderbook(spark: SparkSession, d: str) -> DataFrame:
-    quotes = _events(spark, d).select(F.col("ts").alias("timestamp"), F.col("event_type").alias("symbol"), F.col("value").alias("price_ask"), (F.col("value") * 0.99).alias("price_bid"), F.when(F.col("event_id") % 7 != 0, F.col("ts")).alias("ingestion_timestamp"), F.col("event_id").alias("quote_id"))
-    return rounded(B.orderbook_latest(quotes).select("timestamp", "symbol", "price_ask", "price_bid", "quote_id"))
+    return rounded(B.orderbook_latest(_quotes(spark, d)).select("timestamp", "symbol", "price_ask", "price_bid", "quote_id"))
 
 
 def _ml_data(spark: SparkSession, d: str) -> DataFrame:
@@ -93,6 +96,9 @@ QUERIES = {
     "collect_all_updates": lambda s, d: B.collect_all_updates(_updates(s, d), ["timestamp", "symbol"], "2024-01-05", "2024-01-15", "ingestion_timestamp", "event_id").select("timestamp", "symbol", "value", "event_id"),
     "raw_to_bars": _raw,
     "orderbook_latest": _orderbook,
+    "orderbook_updates": lambda s, d: rounded(B.orderbook_updates(_quotes(s, d), "2024-01-05", "2024-01-15").select("timestamp", "symbol", "price_ask", "price_bid", "quote_id")),
+    "normalised_ffd": lambda s, d: rounded(_bars(s, d).select("timestamp", "symbol", normalised_ffd(F.col("close")).alias("normalised_ffd_close"))),
+    "dataset_summary": lambda s, d: raw.summary(_ml_data(s, d)),
     "upsample_ffill": lambda s, d: rounded(B.upsample(_bars(s, d), "30 minutes", ["close"])),
     "returns_simple": _feature(features.returns, 8),
     "returns_log": _feature(features.returns, log=True),
@@ -114,7 +120,7 @@ QUERIES = {
     "cumsum_events": _cumsum,
     "reversal_events": lambda s, d: rounded(events.reversal_events(_bars(s, d), 0.5, 0.3)),
     "adaptive_events": lambda s, d: events.adaptive_events(_bars(s, d), 0.01),
-    "dollar_bars": lambda s, d: rounded(events.dollar_bars(_traded(s, d), 5e5), 4),
+    "dollar_bars": lambda s, d: rounded(events.dollar_bars(_traded(s, d), 5e4), 4),
     "feature_resample": lambda s, d: align.at_events(_cumsum(s, d), rounded(features.returns(_bars(s, d), (1, 5)))),
     "target_resample": lambda s, d: align.at_events(_cumsum(s, d), _forward(_bars(s, d))),
     "sequence_rows": lambda s, d: _spread(align.sequence_rows(_bars(s, d).select("timestamp", "symbol", "close"), 4)),

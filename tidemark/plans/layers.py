@@ -17,6 +17,7 @@ from tidemark.operators import align, events, registry
 from tidemark.operators import features as _features  # noqa: F401 (registers the features)
 from tidemark.operators.targets import targets
 from tidemark.sources import sinks
+from tidemark.sources.raw import days_of
 
 #: Features whose value depends on all earlier bars (garch on all bars), so that they read the whole history.
 RECURSIVE = {"ema", "garch", "bollinger", "volume"}
@@ -37,15 +38,6 @@ def key_of(label: str, params: dict) -> str:
     return f"{label}-{registry.dataset_id(params)}"
 
 
-def days_of(spark: SparkSession, path: str) -> list[date]:
-    """Dates at path, from the names of its partitions."""
-    if not sinks.exists(spark, path):
-        return []
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)]
-    return sorted(date.fromisoformat(n[5:]) for n in names if n.startswith("date=") and n[5:7].isdigit())
-
-
 def _calendar(since: str, until: str) -> list[date]:
     a, b = date.fromisoformat(since), date.fromisoformat(until)
     return [a + timedelta(days=i) for i in range((b - a).days)]
@@ -112,6 +104,32 @@ def cache_events(spark: SparkSession, raw: str, root: str, label: str, params: d
     return path
 
 
+def resampled_path(root: str, layer: str, events: tuple[str, dict], label: str, params: dict) -> str:
+    """Of a feature or of targets at events: layer is features or targets."""
+    return f"{root}/{layer}_at_events/{key_of(*events)}/{key_of(label, params)}"
+
+
+def cache_feature_at_events(spark: SparkSession, raw: str, root: str, events: tuple[str, dict], label: str, params: dict, since: str, until: str, overwrite: bool = False, sequence: int = 0) -> str:
+    """A feature at the events' keys, by day; events and the feature are filled first. With `sequence`, its last so many rows as arrays."""
+    path = resampled_path(root, "features", events, label, params | ({"sequence": sequence} if sequence else {}))
+    return _cache_at_events(spark, raw, root, events, path, lambda a, b: cache_feature(spark, raw, root, label, params, a, b, overwrite, sequence=sequence), since, until, overwrite)
+
+
+def cache_targets_at_events(spark: SparkSession, raw: str, root: str, events: tuple[str, dict], specs: list[tuple[int, float, float]], since: str, until: str, overwrite: bool = False) -> str:
+    """Targets at the events' keys, by day; events and targets are filled first."""
+    path = resampled_path(root, "targets", events, "targets", {"specs": [list(s) for s in specs]})
+    return _cache_at_events(spark, raw, root, events, path, lambda a, b: cache_targets(spark, raw, root, specs, a, b, overwrite), since, until, overwrite)
+
+
+def _cache_at_events(spark: SparkSession, raw: str, root: str, events: tuple[str, dict], path: str, side, since: str, until: str, overwrite: bool) -> str:
+    todo = [d for d in days_of(spark, raw) if d in set(_calendar(since, until))] if overwrite else missing(spark, raw, path, since, until)
+    if todo:
+        a, b = todo[0].isoformat(), (todo[-1] + timedelta(days=1)).isoformat()
+        read = lambda p: sinks.read_days(spark, p, a, b).drop("date")
+        _write(align.at_events(read(cache_events(spark, raw, root, *events, a, b, overwrite)), read(side(a, b))), path, todo)
+    return path
+
+
 # ---------------------------------------------------------------- datasets
 
 
@@ -163,13 +181,6 @@ def dataset_key(spec: dict) -> str:
     return registry.dataset_id({"events": [label, params], "targets": spec["targets"], "sequence": spec.get("sequence", 0), "columns": spec.get("columns", []), "features": spec["features"]})
 
 
-def _put(spark: SparkSession, path: str, text: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-
-
 def cache_dataset(spark: SparkSession, raw: str, root: str, spec: dict, since: str, until: str, overwrite: bool = False, bars_per_day: int = 390) -> str:
     """Events with aligned features and targets, by day, with a manifest. All layers it needs are filled first.
 
@@ -192,7 +203,7 @@ def cache_dataset(spark: SparkSession, raw: str, root: str, spec: dict, since: s
     if kept := [c for c in spec.get("columns", []) if c not in out.columns]:
         out = out.join(_bars(spark, raw, todo[0], todo[-1]).select(*align.KEY, *kept), align.KEY, "left")
     _write(out, f"{path}/data", todo)
-    _put(spark, f"{path}/manifest.txt", manifest_text(spec))
+    sinks.put_text(spark, f"{path}/manifest.txt", manifest_text(spec))
     return path
 
 

@@ -129,3 +129,12 @@ DAYS = "d as (select distinct timezone('America/New_York', timezone('UTC', ts)):
 ORACLES["missing_days"] = f"with {DAYS} select c.date from (select unnest(generate_series(date '2024-01-01', date '2024-01-30', interval 1 day))::date as date) c anti join d on c.date = d.date"
 ORACLES["consecutive_days"] = f"with {DAYS}, g as (select date, date - row_number() over (order by date)::int as g from d) select min(date) as first_day, max(date) as last_day, count(*) as n_days from g group by g"
 ORACLES["warmup_trim"] = f"with {BARS}, x as (select timestamp, symbol, close, timezone('America/New_York', timezone('UTC', timestamp))::date as date from b), k as (select *, dense_rank() over (order by date) as k from x) select date, timestamp, symbol, round(close, 6) as close from k where k > 3"
+ORACLES["dollar_bars"] = """with recursive u as (select event_type as symbol, date_trunc('hour', ts) as hour, value as close, ts, sum((props->>'$.k')::double) over (partition by event_type, date_trunc('hour', ts) order by ts, event_id rows unbounded preceding) as volume from events),
+    v as (select *, coalesce(volume * close - coalesce(lag(volume * close) over (partition by symbol, hour order by ts), 0), 0) as d from u), n as (select symbol, ts, close, d, row_number() over (partition by symbol order by hour, ts, close, d) as i from v),
+    s as (select symbol, 0::bigint as i, null::timestamp as ts, 0.0::double as close, 0.0::double as sum_, false as full_ from (select distinct symbol from n) q
+    union all select n.symbol, n.i, n.ts, n.close, case when s.full_ then 0 else s.sum_ end + n.d, case when s.full_ then 0 else s.sum_ end + n.d >= 5e4 from s join n on n.symbol = s.symbol and n.i = s.i + 1)
+    select ts as timestamp, symbol, round(close, 4) as close, round(sum_, 4) as dollar_volume from s where full_"""
+
+ORACLES["normalised_ffd"] = final({"normalised_ffd_close": f"case when close <> 0 then ({ffd('close')}) / close end"})
+ORACLES["orderbook_updates"] = "with l as (select date_trunc('minute', ts) as timestamp, event_type as symbol, value as price_ask, value * 0.99 as price_bid, event_id as quote_id, row_number() over (partition by event_type, date_trunc('minute', ts) order by case when event_id % 7 <> 0 then ts end nulls first, event_id) as r from events where date_trunc('minute', ts) >= timestamp '2024-01-05' and date_trunc('minute', ts) < timestamp '2024-01-15') select timestamp, symbol, price_ask, round(price_bid, 6) as price_bid, quote_id from l where r = 1"
+ORACLES["dataset_summary"] = f"select count(*) as n_rows, 7::bigint as n_columns, count(distinct symbol) as n_symbols, min(timestamp) as first_time, max(timestamp) as last_time from ({ORACLES['ml_data']}) q"

@@ -29,9 +29,36 @@ def write_days(df: DataFrame, path: str, ts: str = "timestamp", overwrite: bool
     out.hint("rebalance", F.col("date")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
+def at(spark: SparkSession, path: str):
+    """Hadoop's path and file system of a path."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    where, fs = at(spark, path)
+    return fs.exists(where)
+
+
+def put_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> bool:
+    """Write a small text; without overwrite only where there is none. Whether it was written."""
+    where, fs = at(spark, path)
+    if not overwrite and fs.exists(where):
+        return False
+    out = fs.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """A small text, whole."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    where, fs = at(spark, path)
+    return fs.delete(where, True)
 
 
 def read_days(spark: SparkSession, path: str, since: str, until: str, columns: list[str] | None = None) -> DataFrame:

@@ -259,12 +259,13 @@ def unpack(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
 
 def packed_row(docs: DataFrame) -> DataFrame:
     """docs as one struct column `row`: no helper column can meet one of its names."""
-    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return docs.select(F.struct("*").alias("row"))
 
 
 def unpacked_row(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
     """The named columns of `row`, then the new ones, which replace those of the same name."""
-    return df.select(*[F.col("row").getField(c).alias(c) for c in columns if c not in new], *[v.alias(k) for k, v in new.items()])
+    both = df.select("row", F.struct(*[v.alias(k) for k, v in new.items()]).alias("new"))  # at the top no alias that an expression could mean
+    return both.select(*[F.col("row").getField(c).alias(c) for c in columns if c not in new], *[F.col("new").getField(k).alias(k) for k in new])
 
 
 def text_key(text: Column) -> list[Column]:

@@ -191,11 +191,18 @@ class Words:
         self.doc = np.repeat(np.arange(len(off) - 1), np.diff(self.first))
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        n = len(self.data)
-        up, down = powers(_BYTE_BASES[which], n + 1)
-        run = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:n], out=run[1:])
-        return fnv_free_mix((run[self.end] - run[self.start]) * down[self.start])
+        """A hash of each word. Words are taken in runs of about STEP_BYTES, so that running sums don't grow with the text."""
+        out, a, n = np.empty(len(self.start), np.uint64), 0, len(self.start)
+        while a < n:
+            lo = self.start[a]
+            b = max(a + 1, int(np.searchsorted(self.start, lo + STEP_BYTES)))
+            size = int(self.end[b - 1] - lo)
+            up, down = powers(_BYTE_BASES[which], size + 1)
+            run = np.zeros(size + 1, np.uint64)
+            np.cumsum((self.data[lo : lo + size].astype(np.uint64) + np.uint64(1)) * up[:size], out=run[1:])
+            out[a:b] = fnv_free_mix((run[self.end[a:b] - lo] - run[self.start[a:b] - lo]) * down[self.start[a:b] - lo])
+            a = b
+        return out
 
     def grams(self, h: np.ndarray, k: int, which: int = 0) -> np.ndarray:
         """Hashes of the k-word sequences starting at each word; those crossing a document's end are meaningless."""

@@ -10,7 +10,7 @@
    one Aho-Corasick automaton, all documents of the shard are streamed through it, and the windows around every
    occurrence are confirmed by a 128-bit hash. Words under a window first seen in a smaller document are removed.
 
-The numbers of shards and segments follow the bytes of text. Windows are judged on the input.
+The numbers of shards, segments and tasks follow the bytes of text. Windows are judged on the input.
 """
 
 from __future__ import annotations
@@ -29,6 +29,10 @@ from tidemark.llm import common as C
 FILTER_BITS = 1 << 27
 #: Bytes of text of a shard, which one task holds.
 SHARD_BYTES = 4 << 20
+#: Windows of a map batch that are pre-aggregated at once.
+FLUSH = 1 << 21
+#: Shards that a task takes one after another, and tasks of a stage at most.
+SHARDS_EACH, TASKS = 4, 100_000
 
 _ANCHORS = "seg int, h binary, lo binary, hi binary"
 _SPOTS = "shard int, g binary, doc binary, pos binary, least binary"
@@ -110,7 +114,7 @@ def recurring_anchors(docs: DataFrame, window: int, seed: int, segs: int) -> byt
 
     width = max(64, FILTER_BITS // segs) // 8
     filled = bytearray(width * segs)
-    found = docs.mapInArrow(emit, _ANCHORS).groupBy("seg").applyInArrow(reduce, "seg int, bits binary")
+    found = docs.mapInArrow(emit, _ANCHORS).repartition(min(TASKS, max(1, segs // SHARDS_EACH)), "seg").groupBy("seg").applyInArrow(reduce, "seg int, bits binary")
     for seg, bits in found.toLocalIterator():  # FILTER_BITS in all
         filled[seg * width : (seg + 1) * width] = bits
     return filled
@@ -131,10 +135,25 @@ def confirmed_windows(docs: DataFrame, window: int, seed: int, segs: int, groups
     """For each repeated window and shard, one place in that shard that repeats it: shard, doc, pos, least (packed)."""
     known = docs.sparkSession.sparkContext.broadcast(bytes(recurring_anchors(docs, window, seed, segs)))
 
+    def aggregated(parts: list[tuple]) -> Iterator[tuple]:
+        """Of each window and shard its two smallest documents at most, for the smallest of all may be one of them."""
+        g, g2, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if not len(g):
+            return
+        shard = _shard_of(doc, shards)
+        order = np.lexsort((pos, doc, shard, g))
+        g, g2, doc, pos, shard = (x[order] for x in (g, g2, doc, pos, shard))
+        once = np.r_[True, (g[1:] != g[:-1]) | (shard[1:] != shard[:-1]) | (doc[1:] != doc[:-1])]
+        g, g2, doc, pos, shard = (x[once] for x in (g, g2, doc, pos, shard))
+        same = np.r_[False, (g[1:] == g[:-1]) & (shard[1:] == shard[:-1])]
+        third = np.r_[np.zeros(min(2, len(g)), bool), same[2:] & same[1:-1]]
+        g, g2, doc, pos, shard = (x[~third] for x in (g, g2, doc, pos, shard))
+        yield from C.by_segment(_slots(g, groups)[0], g, g2, doc, shard, doc, pos.astype(np.int32))
+
     def emit(batches):
         bits = np.frombuffer(known.value, np.uint8)
         for batch in batches:
-            parts = []
+            parts, held = [], 0
             for ids, words in _parts(batch):
                 h = words.hashes()
                 starts, anchor = _anchors(words, h, window, seed)
@@ -143,21 +162,12 @@ def confirmed_windows(docs: DataFrame, window: int, seed: int, segs: int, groups
                 keep = _known(bits, anchor[new], segs)[runs] if len(anchor) else new
                 at = starts[keep]
                 parts.append((words.grams(h, window)[at], words.grams(words.hashes(1), window, 1)[at], ids[words.doc[at]], at - words.first[words.doc[at]]))
-            if not parts:
-                continue
-            g, g2, doc, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-            if not len(g):
-                continue
-            shard = _shard_of(doc, shards)
-            # of each window and shard of this batch: its two smallest documents at most, for the smallest of all may be one of them
-            order = np.lexsort((pos, doc, shard, g))
-            g, g2, doc, pos, shard = (x[order] for x in (g, g2, doc, pos, shard))
-            once = np.r_[True, (g[1:] != g[:-1]) | (shard[1:] != shard[:-1]) | (doc[1:] != doc[:-1])]
-            g, g2, doc, pos, shard = (x[once] for x in (g, g2, doc, pos, shard))
-            same = np.r_[False, (g[1:] == g[:-1]) & (shard[1:] == shard[:-1])]
-            third = np.r_[np.zeros(min(2, len(g)), bool), same[2:] & same[1:-1]]
-            g, g2, doc, pos, shard = (x[~third] for x in (g, g2, doc, pos, shard))
-            yield from C.packed(C.by_segment(_slots(g, groups)[0], g, g2, doc, shard, doc, pos.astype(np.int32)), _schema(_WINDOWS))
+                held += len(at)
+                if held >= FLUSH:
+                    yield from C.packed(aggregated(parts), _schema(_WINDOWS))
+                    parts, held = [], 0
+            if parts:
+                yield from C.packed(aggregated(parts), _schema(_WINDOWS))
 
     def reduce(group: pa.Table) -> pa.Table:
         g, g2, doc, shard, pos = (C.unpack(group.column(c), t) for c, t in (("h", np.uint64), ("g", np.uint64), ("lo", np.int64), ("shard", np.int32), ("pos", np.int32)))
@@ -175,7 +185,7 @@ def confirmed_windows(docs: DataFrame, window: int, seed: int, segs: int, groups
         rows = list(C.by_segment(shard[one], g[one], doc[one], pos[one], least[one]))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _SHARDS.types, strict=True)], schema=_SHARDS)
 
-    return docs.mapInArrow(emit, _WINDOWS).groupBy("seg").applyInArrow(reduce, _SPOTS)
+    return docs.mapInArrow(emit, _WINDOWS).repartition(min(TASKS, max(1, groups // SHARDS_EACH)), "seg").groupBy("seg").applyInArrow(reduce, _SPOTS)
 
 
 def _locate(texts: list[bytes], ids: np.ndarray, g: np.ndarray, doc: np.ndarray, pos: np.ndarray, least: np.ndarray, window: int, seed: int) -> tuple[list[np.ndarray | None], int]:
@@ -257,9 +267,9 @@ def dedup_substrings(docs: DataFrame, window: int = 50, seed: int = 8) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = docs.where("doc_id is not null")
     size = C.text_bytes(known)
-    shards, segs = max(16, size // SHARD_BYTES), C.shares(size, SHARD_BYTES, 256, 1 << 14)
-    # each group of windows gives a row for each shard, so there are few
-    spots = confirmed_windows(known, window, seed, segs, C.shares(size, 4 * SHARD_BYTES, 64, 1 << 12), shards)
+    shards, segs = max(16, size // SHARD_BYTES), C.shares(size, SHARD_BYTES, 16, 1 << 14)
+    spots = confirmed_windows(known, window, seed, segs, C.shares(size, SHARD_BYTES, 16, 1 << 20), shards)
+    tasks = min(TASKS, max(1, shards // SHARDS_EACH))
     out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -280,7 +290,7 @@ def dedup_substrings(docs: DataFrame, window: int = 50, seed: int = 8) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(_shard_of(ids, shards), pa.int32()), *batch.columns], ["shard", "doc_id", "text"])
 
     dealt = known.mapInArrow(shard_column, "shard int, doc_id long, text string")
-    found = dealt.groupBy("shard").cogroup(spots.groupBy("shard")).applyInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string")
+    found = dealt.repartition(tasks, "shard").groupBy("shard").cogroup(spots.repartition(tasks, "shard").groupBy("shard")).applyInArrow(run, "doc_id long, n_words long, n_removed long, kept_text string")
     words = F.filter(F.split(F.coalesce("text", F.lit("")), C.SPACE_PATTERN), lambda w: w != "")
     rest = docs.where("doc_id is null").select("doc_id", F.size(words).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join(words, " ").alias("kept_text"))
     return found.unionByName(rest)

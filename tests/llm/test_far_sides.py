@@ -17,7 +17,7 @@ def odd(spark, texts):
     return spark.createDataFrame([(i, t, None, None if i % 3 == 0 else "s", None, *["x"] * 13) for i, t in enumerate(texts)], ODD)
 
 
-TEXTS = [None, "", " \n ", LINE, LINE, f"{LINE}\nown line here", LINE.replace("five", "FIVE"), LINE + " ten", "token: abcdefgh12345678", "token: abcdefgh12345678", "AKIA" + "Z" * 16, "f" * 40, "word " * 30, "word " * 30]
+TEXTS = [None, "", " \n ", LINE, LINE, f"{LINE}\nown line here", LINE.replace("five", "FIVE"), LINE + " ten", "token: abcdefgh12345678", "token: abcdefgh12345678", "AKIA" + "Z" * 16, "f" * 40, "word " * 30, "word " * 30, "a short line", "a short lime", "a short lines"]
 
 
 def ordered(df):
@@ -28,9 +28,9 @@ def test_clashing_columns_pass(spark):
     df = odd(spark, TEXTS)
     got = line_dedup.dedup_lines(df)
     assert set(df.columns) <= set(got.columns) and {r["__doc"] for r in got.collect()} == {"x"}
-    assert {r.doc_id: r.n_removed for r in got.collect() if r.n_removed} == {4: 1, 5: 1, 6: 1, 7: 1, 9: 1, 13: 1}
+    assert {r.doc_id: r.n_removed for r in got.collect() if r.n_removed} == {4: 1, 5: 1, 6: 1, 7: 1, 9: 1, 13: 1, 15: 1, 16: 1}
     got = quality_rules.quality_rules(df)
-    assert {r["a.b"] for r in got.collect()} == {"x"} and {r.doc_id for r in got.collect() if r.base_failed} == set(range(14))
+    assert {r["a.b"] for r in got.collect()} == {"x"} and {r.doc_id for r in got.collect() if r.base_failed} == set(range(17))
     got = secret_scan.scan_secrets(df)
     assert {r.doc_id: [s["name"] for s in r.spans] for r in got.collect() if r.spans} == {8: ["assign"], 9: ["assign"], 10: ["access"], 11: ["hex"]} and {r.salt for r in got.collect()} == {"x"}
     for fn in (substring_dedup.op1_substring_dedup, simhash_dedup.op3_simhash_dedup, lm_score.op7_lm_score):
@@ -50,6 +50,7 @@ def test_far_sides_equal_near_sides(spark, monkeypatch):
     near = [ordered(q()) for q in queries]
     assert sum("True" in r for r in near[1]) == 20
     monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(line_dedup, "DIRECT", 11)
     monkeypatch.setattr(quality_rules, "BROADCAST_LINES", -1)
     monkeypatch.setattr(secret_scan, "BROADCAST_ROWS", -1)
     monkeypatch.setattr(simhash_dedup, "BUCKET", 1)

@@ -47,7 +47,25 @@ def test_lines_within_one_word(spark):
     a = "one two three four five six seven eight nine"
     rows = [(1, a + "\nkeep"), (2, a.replace("five", "FIVE")), (3, a + " ten"), (4, a.replace("five", "5").replace("six", "6")), (5, "short line"), (6, "short  line\nshort lines")]
     got = {r.doc_id: (r.n_removed, r.text) for r in line_dedup.dedup_lines(docs(spark, rows)).collect()}
-    assert [got[i][0] for i in range(1, 7)] == [0, 1, 1, 0, 0, 1] and got[6][1] == "short lines"
+    assert [got[i][0] for i in range(1, 7)] == [0, 1, 1, 0, 0, 2] and got[6][1] == ""
+
+
+def test_short_lines_within_one_character(spark):
+    """Under eight words an edit is of one character, from eight characters on."""
+    lines = ["read more", "read mure", "read mor", "readmore", "read more!!", "sub menu", "SUB menu", "page 1", "page 2", "🙂 smile on", "🙃 smile on", " smile on", "b" * 300, "b" * 150 + "c" + "b" * 149, "b" * 301, "d" * 257, "d" * 256]
+    lines += ["one two three four five six seven", "one two three four five six sevenx", "one two three four five six sev en", "one two three four five six other"]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs(spark, list(enumerate(lines)))).collect()}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+        a, b = sorted((a, b), key=len)
+        return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+    plain = [" ".join(x.split()) for x in lines]
+    unit = ["w" if len(x.split()) >= 8 else "c" if len(x) >= 8 else "" for x in plain]
+    want = {i: int(any(plain[k] == plain[i] or (unit[k] == unit[i] == "c" and near(plain[k], plain[i])) for k in range(i))) for i in range(len(lines))}
+    assert got == want and sum(want.values()) == 8
 
 
 def test_components(spark):

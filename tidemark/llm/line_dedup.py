@@ -50,11 +50,14 @@ def line_keys(docs: DataFrame, min_fuzzy_words: int, min_fuzzy_chars: int) -> Da
     """One row for each line with a word: its place, a 128-bit key of its words, and the half keys."""
     lines = docs.select(F.col("doc_id").alias("__doc"), F.posexplode_outer(lines_of(F.col("text"))).alias("__line", "__text"))
     lines = lines.where(F.col("__text").rlike("[^\\x20\\x09-\\x0D]")).withColumn("__w", words_of(F.col("__text")))
-    lines = lines.withColumns({"__n": F.size("__w"), "__norm": F.when(F.size("__w") < min_fuzzy_words, F.array_join("__w", " "))}).withColumn("__chars", F.length("__norm"))
-    w, n, norm, chars = (F.col(c) for c in ("__w", "__n", "__norm", "__chars"))
+    w = F.col("__w")
+    n = F.size(w)
     by_word = _halves(n, lambda t: F.slice(w, F.lit(1), t), lambda t: F.slice(w, n - t + 1, t), 1)
-    by_char = _halves(chars, lambda t: F.substr(norm, F.lit(1), t), lambda t: F.substr(norm, chars - t + 1, t), 3)
-    halves = F.when(n >= min_fuzzy_words, by_word).when(chars >= min_fuzzy_chars, by_char)
+
+    def by_char(x):
+        return C.let(F.length(x), lambda m: F.when(m >= min_fuzzy_chars, _halves(m, lambda t: F.substr(x, F.lit(1), t), lambda t: F.substr(x, m - t + 1, t), 3)))
+
+    halves = F.when(n >= min_fuzzy_words, by_word).otherwise(C.let(F.array_join(w, " "), by_char))  # bound: inlined, the code is too long to be compiled
     return lines.select("__doc", "__line", F.xxhash64("__w").alias("__k1"), F.xxhash64(F.lit("b"), F.reverse("__w")).alias("__k2"), halves.alias("__halves"))
 
 

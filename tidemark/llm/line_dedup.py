@@ -110,8 +110,11 @@ def near_lines(docs: DataFrame, lines: DataFrame, held: DataFrame, min_fuzzy_wor
     near = C.staged(near.join(held, key).select(*key, F.col("__first.doc").alias("__doc"), F.col("__first.line").alias("__line")), "near-lines")
 
     # their words again, from the earliest place of each; rows that repeat a doc_id may differ there
+    places = _bounded(near)
+    if places is not near:  # texts without such a line needn't be split again
+        docs = docs.join(F.broadcast(near.select(F.col("__doc").alias("doc_id")).distinct()), "doc_id", "left_semi")
     text = docs.select(F.col("doc_id").alias("__doc"), F.posexplode_outer(lines_of(F.col("text"))).alias("__line", "__text"))
-    words = text.join(_bounded(near), ["__doc", "__line"]).select("__doc", "__line", *key, words_of(F.col("__text")).alias("__w"))
+    words = text.join(places, ["__doc", "__line"]).select("__doc", "__line", *key, words_of(F.col("__text")).alias("__w"))
     words = words.where((F.xxhash64("__w") == F.col("__k1")) & (F.xxhash64(F.lit("b"), F.reverse("__w")) == F.col("__k2")))
     words = words.withColumn("__norm", F.when(F.size("__w") < min_fuzzy_words, F.array_join("__w", " ")))
     units = F.when(F.col("__norm").isNull(), F.transform("__w", lambda w: F.xxhash64(w))).otherwise(F.transform(F.split("__norm", ""), lambda x: F.xxhash64(F.lit("c"), x)))

@@ -177,3 +177,19 @@ def test_stages_take_odd_rows(spark):
             assert ids == kept[name], name
         assert got.columns[: len(corpus_pipeline.COLUMNS)] == corpus_pipeline.COLUMNS
         assert stage(spark, rows.limit(0), sf).count() == 0
+
+
+def test_decontamination_is_native(spark, monkeypatch):
+    """No Python in the plan; short, laddered and long items, words that meet the trimmed characters, repeated words; nothing without the blocks."""
+    words = [f"f{i}" for i in range(200)]
+    items = spark.createDataFrame([(1, " ".join(words[:25])), (2, "fa fb"), (3, " ".join(words[20:180])), (4, "ab " * 30)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "\f" + " ".join(words) + "\x0b"), (2, "fa fb"), (3, "ab " * 40), (4, None)], "doc_id long, text string")
+    out = decontaminate.op6_decontaminate(docs, items)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+    want = [(1, 1, 1.0, 0), (1, 3, 1.0, 20), (2, 2, 1.0, 0), (3, 4, 1.0, 0)]
+    assert sorted(map(tuple, out.collect())) == want
+    monkeypatch.setattr(decontaminate, "ITEMS", 1)
+    assert sorted(map(tuple, decontaminate.op6_decontaminate(docs, items).collect())) == want
+    monkeypatch.setattr(decontaminate, "block_bits", lambda prints: np.zeros((8, 256), np.uint64))
+    assert decontaminate.op6_decontaminate(docs, items).count() == 0

@@ -1,25 +1,27 @@
-"""Benchmark decontamination by SimHash of item-sized windows.
+"""Benchmark decontamination by SimHash of item-sized windows, in DataFrame operations only.
 
 Texts are lower case words; a shingle is five words, or the whole item where it is shorter. Every window with as many shingles as an item
-is fingerprinted, for each such number, from running sums of the shingles' bits: eight sums of eight bits are held in one number, and a
-window's votes are a difference of two. Windows are looked up in blocks of 8 bits: two fingerprints within RADIUS = 23 bits have a block in
+is fingerprinted, for each such number. Windows are looked up in blocks of 8 bits: two fingerprints within RADIUS = 23 bits have a block in
 which they differ in at most two, so each item is stored under every value within two bits of each of its eight blocks, and none within
 the radius is lost. Candidates come from the blocks alone; those within the radius are verified by exact weighted Jaccard similarity, a
 shingle's weight being its count.
 
 At similarity 0.8 two fingerprints differ in 10 bits on average, with a deviation of 3; the radius is over four deviations beyond.
 
-The items' fingerprints and shingles are sent to the workers in parts of PART_SHINGLES at most; the documents are read once for each part,
-and no document moves. This is numpy work: a gigabyte of text has some 145 million places, and with 43 sizes of items 6 billion windows.
+Each place of a text is a row of a generator within one compiled stage. It adds the shingles from that place on, one by one, to bit planes
+that count all 64 bits at once: some 20 operations on longs a shingle, and one for each plane to compare them with half of an item's
+number. Items of over LADDER shingles take planes of 1, 2, 4, ... shingles as arrays instead, which is slower. Blocks, and bits of the
+items' shingles for a bound before verification, are one broadcast row; the fingerprints of at most ITEMS items are in the code, and the
+documents are read once for each such part. No document moves. `Index` is the same search over words in memory, for few texts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +29,10 @@ from pyspark.sql import types as T
 from tidemark.llm import common as C
 
 RADIUS, BLOCK = 23, 8
-#: Shingles of the items sent to the workers at once: 16 MB of hashes.
+#: Shingles of the items searched for in one pass: 4 MB of their bits.
 PART_SHINGLES = 1 << 21
+#: Items searched for in one pass over the documents, and the longest whose windows are counted step by step.
+ITEMS, LADDER = 512, 127
 #: Places of which the windows are handled at once: 4 MB of sums.
 PLACES = 1 << 16
 
@@ -76,14 +80,19 @@ def simhash(h: np.ndarray) -> int:
     return int(fingerprints(_votes(h), len(h))[0])
 
 
-def block_tables(prints: np.ndarray) -> np.ndarray:
-    """For up to 64 fingerprints: the bits of those with a value within two bits of it in a block. Two blocks that lie side by side
-    share a row, which has the bits of both for each of their values together."""
+def block_bits(prints: np.ndarray) -> np.ndarray:
+    """For up to 64 fingerprints: by block and value, the bits of those whose own value there lies within two bits."""
     kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(prints) <= 8 * k().itemsize)
     one = np.zeros((64 // BLOCK, 1 << BLOCK), kind)
     for k, own in enumerate(prints.view(np.uint8).reshape(-1, 64 // BLOCK)):
         for b, v in enumerate(own):
             one[b, v ^ _FLIPS] |= kind(1 << k)
+    return one
+
+
+def block_tables(prints: np.ndarray) -> np.ndarray:
+    """The bits of two blocks that lie side by side share a row, which has those of both for each of their values together."""
+    one = block_bits(prints)
     return np.ascontiguousarray((one[1::2, :, None] | one[::2, None, :]).reshape(64 // BLOCK // 2, -1))
 
 
@@ -179,15 +188,163 @@ class Index:
         yield from ((doc, item, found, start) for (doc, item), (found, start) in best.items())
 
 
+SPACES = "' \\t\\n\\u000b\\u000c\\r'"
+
+
+def _words(text: str) -> list[tuple[str, str]]:
+    """Steps (column, SQL) from a text to its words `w`; a null text has none."""
+    return [("t", f"btrim(lower(coalesce(cast({text} as string), '')), {SPACES})"), ("w", f"if(t = '', cast(array() as array<string>), split(t, r'{C.SPACE_PATTERN}'))")]
+
+
+def _sequences(width: int) -> list[tuple[str, str]]:
+    """Steps from words `w` to the hashes `h` of the sequences of `width` words."""
+    later = "".join(f", get(hw, i + {k})" for k in range(1, width))
+    return [("hw", "transform(w, x -> xxhash64(x))"), ("h", f"slice(transform(hw, (x, i) -> xxhash64(x{later})), 1, greatest(0, size(hw) - {width - 1}))")]
+
+
+def _stepped(df: DataFrame, keep: list[str], steps: list[tuple[str, str]]) -> DataFrame:
+    for name, sql in steps:
+        df = df.selectExpr(*keep, f"{sql} as {name}")
+        keep = [*keep, name]
+    return df
+
+
+def _signed(x: np.ndarray) -> list[int]:
+    return np.asarray(x, np.uint64).view(np.int64).tolist()
+
+
+@dataclass
+class Part:
+    """Items of one width, a bounded number of them, as columns of one row that is broadcast."""
+
+    width: int
+    groups: list[Group]
+    bits: int
+
+    def row(self, spark) -> DataFrame:
+        """`ix`: bits of all shingles of the items, then for each group and block the items with each value within two bits of theirs."""
+        every = np.unique(np.concatenate([s for g in self.groups for s in g.shingles]))
+        bm = np.zeros(1 << (self.bits - 6), np.uint64)
+        np.bitwise_or.at(bm, (every >> np.uint64(70 - self.bits)).astype(np.intp), np.uint64(1) << (every & np.uint64(63)))
+        tb = np.concatenate([block_bits(g.prints).astype(np.uint64).ravel() for g in self.groups])
+        longs = T.ArrayType(T.LongType(), False)
+        return spark.createDataFrame([(_signed(np.concatenate([bm, tb])),)], T.StructType([T.StructField("ix", longs, False)]))
+
+    def known(self, x: str) -> str:
+        """1 if the bits have shingle x: it may be one of an item's."""
+        return f"cast(shiftrightunsigned(ix[shiftrightunsigned({x}, {70 - self.bits})], cast({x} & 63 as int)) & 1 as int)"
+
+    def met(self, g: int) -> str:
+        """Bits of the items of group g that fp meets in a block."""
+        own = (1 << (self.bits - 6)) + (g * (64 // BLOCK) << BLOCK)
+        return " | ".join(f"ix[{own + (b << BLOCK)}L | (shiftrightunsigned(fp, {b * BLOCK}) & {(1 << BLOCK) - 1})]" for b in range(64 // BLOCK))
+
+    def near(self, g: int) -> str:
+        return "(" + " or ".join(f"((met & {_signed(np.array([1 << k]))[0]}L) <> 0 and bit_count(fp ^ {_long(x)}) <= {RADIUS})" for k, x in enumerate(_signed(self.groups[g].prints))) + ")"
+
+
+def _long(x: int) -> str:
+    return f"{x}L" if x > -(1 << 63) else "(-9223372036854775807L - 1L)"
+
+
+def _half(planes: list[str], n: int) -> str:
+    """SQL of the bits of which the count, given as bit planes, is over half of n."""
+    least, out = n // 2 + 1, "-1L"
+    for b, plane in enumerate(planes):
+        out = f"({plane} {'&' if least >> b & 1 else '|'} {out})"
+    return out
+
+
+def _enough(n: int, least: float) -> int:
+    return math.ceil(2 * least / (1 + least) * n - 1e-9)
+
+
+def _candidates(docs: DataFrame, part: Part, least: float) -> DataFrame:
+    """who, k, fp, start, win: the windows that meet an item of group k in a block and lie within the radius of it.
+
+    docs: who, h. Each place of a text adds the shingles from it on to bit planes, which count all 64 bits at once, and compares them at
+    the number of shingles of each group. Every step is a projection that uses each column at least twice: Spark then makes it a function
+    of its own, which the JVM compiles.
+    """
+    at = {g.n: [] for g in part.groups}
+    for k, g in enumerate(part.groups):
+        at[g.n].append(k)
+    kind = f"array<struct<who:{docs.schema['who'].dataType.simpleString()},k:int,fp:bigint,start:int,win:array<bigint>>>"
+    shortest, longest = min(at), max(at)
+    places = docs.selectExpr("who", "h", f"explode_outer(if(size(h) >= {shortest}, sequence(0, size(h) - {shortest}), cast(array() as array<int>))) as p").where("p is not null")
+    shingle = lambda i: f"coalesce(get(h, p + {i}), 0L) as x"
+    df = places.crossJoin(F.broadcast(part.row(docs.sparkSession))).selectExpr("who", "h", "p", "ix", f"cast(array() as {kind}) as hits", "0 as known", shingle(0))
+    planes: list[str] = []
+    fixed = ["who", "h", "p", "ix"]
+    for n in range(longest + 1):
+        hits = "hits"
+        for k in at.get(n, []):
+            df = df.selectExpr(*fixed, hits, "known", "x", *planes, f"{_half(planes, n)} as fp")
+            df = df.selectExpr(*fixed, "hits", "known", "x", *planes, "fp", f"{part.met(k)} as met")
+            found = f"met <> 0 and known >= {_enough(n, least)} and p + {n} <= size(h) and {part.near(k)}"
+            hits = f"if({found}, concat(hits, array(named_struct('who', who, 'k', {k}, 'fp', fp, 'start', p, 'win', slice(h, p + 1, {n})))), hits) as hits"
+        if n not in at and n % 4 == 0:  # never so: the same uses of all columns
+            hits = f"if(known < 0, concat(hits, array(named_struct('who', who, 'k', 0, 'fp', x, 'start', p, 'win', h))), hits) as hits"
+        if n == longest:
+            return df.selectExpr("inline_outer(" + hits.removesuffix(" as hits") + ")").where("k is not null")
+        carry, after = "x", []
+        for plane in planes:
+            after.append(f"{plane} ^ {carry} as {plane}")
+            before = carry
+            carry = f"({carry} & {plane})"
+        if n + 1 >> len(planes):
+            after.append(f"{carry} as q{len(planes)}")
+            planes = [*planes, f"q{len(planes)}"]
+        else:  # nothing is carried out of the last plane: exclusive or with two uses
+            top = planes[-1]
+            after[-1] = f"({top} | {before}) & ~({top} & {before}) as {top}"
+        df = df.selectExpr(*fixed, hits, f"known + {part.known('x')} as known", shingle(n + 1), *after)
+    raise AssertionError
+
+
+def _long_candidates(docs: DataFrame, part: Part, least: float) -> DataFrame:
+    """As _candidates, for one group of any size: bit planes of windows of 1, 2, 4, ... shingles as arrays over a text, added up to n."""
+    (g,) = part.groups
+
+    def added(a: list[str], b: list[str], away: int) -> list[str]:
+        """SQL of the planes of the sum of counts a at each place i and b at i + away."""
+        out, carry = [], None
+        for j in range(max(len(a), len(b))):
+            given = [f"get({v[j]}, i{f' + {o}' if o else ''})" for v, o in ((a, 0), (b, away)) if j < len(v)] + ([carry] if carry else [])
+            out.append(" ^ ".join(given))
+            carry = None if len(given) == 1 else f"({given[0]} & {given[1]})" if len(given) == 2 else f"(({given[0]} & {given[1]}) | (({given[0]} ^ {given[1]}) & {given[2]}))"
+        return [*out, *([carry] if carry else [])]
+
+    def step(df: DataFrame, own: dict[str, str], size: int, keep: list[str]) -> DataFrame:
+        each = [f"transform(if(size(h) >= {size}, sequence(0, size(h) - {size}), cast(array() as array<int>)), i -> {sql}) as {name}" for name, sql in own.items()]
+        return df.selectExpr("who", "h", *keep, *each)
+
+    df, one, total, done, size = docs.selectExpr("who", "h", "h as o0_0"), ["o0_0"], [], 0, 1
+    for level in range(g.n.bit_length()):
+        if g.n >> level & 1:
+            sums = added(total, one, done) if total else [f"get({x}, i)" for x in one]
+            df = step(df, {f"t{level}_{j}": x for j, x in enumerate(sums)}, done + size, one)
+            total, done = [f"t{level}_{j}" for j in range(len(sums))], done + size
+        if done < g.n:
+            sums = added(one, one, size)
+            df = step(df, {f"o{level + 1}_{j}": x for j, x in enumerate(sums)}, 2 * size, total)
+            one, size = [f"o{level + 1}_{j}" for j in range(len(sums))], 2 * size
+    half = _half([f"get({x}, i)" for x in total], g.n)
+    df = step(df, {"fps": half}, g.n, []).selectExpr("who", "h", "posexplode_outer(fps) as (start, fp)").where("start is not null")
+    df = df.crossJoin(F.broadcast(part.row(docs.sparkSession))).selectExpr("*", f"{part.met(0)} as met").where(part.near(0))
+    df = df.selectExpr("who", "0 as k", "fp", "start", f"slice(h, start + 1, {g.n}) as win", "ix")
+    return df.where(f"aggregate(win, 0, (a, x) -> a + {part.known('x')}) >= {_enough(g.n, least)}").drop("ix")
+
+
 def _parts(items: DataFrame, most: int) -> Iterator[list[tuple]]:
-    """The items in runs of about `most` words; one run at a time is on the driver."""
+    """The items (width, n, item, hashes) in runs of one width and about `most` shingles; one run at a time is on the driver."""
     hold, size = [], 0
-    for r in items.toLocalIterator():
-        hold.append((r[0], r[1]))
-        size += r[1].count(" ") + 1
-        if size >= most:
+    for r in items.orderBy("width", "n").toLocalIterator():
+        if hold and (size >= most or len(hold) >= ITEMS or r.width != hold[0].width or r.n > LADDER and r.n != hold[0].n):
             yield hold
             hold, size = [], 0
+        hold.append(r)
+        size += r.n
     if hold:
         yield hold
 
@@ -202,29 +359,50 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.8, shingle:
     """
     kind = lambda df, c: df.schema[c].dataType
     out = T.StructType([T.StructField("doc_id", kind(docs, "doc_id")), T.StructField("item_id", kind(items, "item_id")), T.StructField("similarity", T.DoubleType()), T.StructField("start", T.LongType())])
-    spark, rows = docs.sparkSession, docs.select("doc_id", F.lower(F.col("text").cast("string")).alias("text"))
-    clean = F.trim(F.regexp_replace(F.lower(F.col("text").cast("string")), C.SPACE_PATTERN, " "))
-    items = C.staged(items.select("item_id", clean.alias("text")).where("text <> ''").distinct(), "items")
-
-    def search(own: list[tuple]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(([i for i, _ in own], Index([t for _, t in own], shingle)))
-
-        def run(batches):
-            names, index = sent.value
-            for batch in batches:
-                data, off = C.utf8(batch.column("text"))
-                hits = []
-                for a, b in C.steps(off):
-                    hits += [(a + r, *x) for r, *x in index.search(C.Words(data[off[a] : off[b]], off[a : b + 1] - off[a]), least)]
-                if hits:
-                    at, item, found, start = zip(*hits, strict=True)
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), pa.array([names[i] for i in item]), pa.array(found), pa.array(start, pa.int64())], out.names)
-
-        return rows.mapInArrow(run, out)
+    spark = docs.sparkSession
+    words = docs.selectExpr("struct(monotonically_increasing_id() as rid, doc_id) as who", f"{_words('text')[0][1]} as t").selectExpr("who", f"{_words('text')[1][1]} as w")
+    own = items.selectExpr("item_id", f"{_words('text')[0][1]} as t").selectExpr("item_id", f"{_words('text')[1][1]} as w").where("size(w) > 0").distinct()
+    own = C.staged(own, "items")
+    hashed = None
+    for width in range(1, shingle + 1):
+        mine = own.where(F.size("w") == width if width < shingle else F.size("w") >= width)
+        mine = _stepped(mine, ["item_id", "w"], _sequences(width)).selectExpr(f"{width} as width", "size(h) as n", "item_id", "h")
+        hashed = mine if hashed is None else hashed.unionByName(mine)
+    hashed = C.staged(hashed, "item-hashes")
+
+    def search(run: list[tuple]) -> DataFrame:
+        width = run[0].width
+        found = [np.array(r.h, np.int64).view(np.uint64) for r in run]
+        by_size: dict[int, list[int]] = {}
+        for i, r in enumerate(run):
+            by_size.setdefault(r.n, []).append(i)
+        groups = [Index._group(width, n, at[a : a + 64], found) for n, at in sorted(by_size.items()) for a in range(0, len(at), 64)]
+        bits = max(12, (16 * sum(map(len, found)) - 1).bit_length())
+        here = Part(width, groups, bits)
+        rows = []
+        for k, g in enumerate(groups):
+            for i, x in zip(g.at, _signed(g.prints), strict=True):
+                each, count = np.unique(found[i], return_counts=True)
+                rows.append((k, i, run[i].item_id, x, _signed(each), count.tolist()))
+        table = spark.createDataFrame(rows, T.StructType([T.StructField("k", T.IntegerType()), T.StructField("at", T.IntegerType()), out["item_id"], T.StructField("print", T.LongType()), T.StructField("each", T.ArrayType(T.LongType(), False)), T.StructField("count", T.ArrayType(T.IntegerType(), False))]))
+        rows = _stepped(words, ["who", "w"], _sequences(width)).select("who", "h")
+        if groups[0].n <= LADDER:
+            met = _candidates(rows, here, least)
+        else:
+            met = None
+            for g in groups:
+                one = _long_candidates(rows, Part(width, [g], bits), least).withColumn("k", F.lit(groups.index(g)))
+                met = one if met is None else met.unionByName(one)
+        near = met.join(F.broadcast(table), "k").where(f"bit_count(fp ^ print) <= {RADIUS}")
+        # shared shingles, each as often as both have it; a window of distinct ones by sets
+        shared = "if(size(array_distinct(win)) = size(win), size(array_intersect(win, each)), aggregate(zip_with(each, count, (x, c) -> least(c, size(filter(win, y -> y = x)))), 0, (a, x) -> a + x))"
+        near = near.selectExpr("who", "at", "item_id", "start", "size(win) as n", f"{shared} as shared").selectExpr("who", "at", "item_id", "start", "cast(shared as double) / (2 * n - shared) as similarity").where(F.col("similarity") >= least)
+        best = near.groupBy("who.rid", "at").agg(F.min(F.struct(-F.col("similarity"), "start", "who", "item_id")).alias("b"))
+        return best.selectExpr("b.who.doc_id as doc_id", "b.item_id as item_id", "-b.col1 as similarity", "cast(b.start as bigint) as start")
 
     found = None
-    for own in _parts(items, part):
-        found = search(own) if found is None else found.unionByName(search(own))
+    for run in _parts(hashed, part):
+        found = search(run) if found is None else found.unionByName(search(run))
     return found if found is not None else spark.createDataFrame([], out)
 
 

@@ -93,3 +93,12 @@ def test_quality_stage_removes_frequent_lines(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.stage_quality(spark, docs, SF).collect()}
     want = {i: f"{t}\n\nlast {i}" for i, t in enumerate(own)}
     assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
+def test_benchmark_stage_is_native(spark, monkeypatch):
+    plans, staged = [], corpus_pipeline.C.staged
+    monkeypatch.setattr(corpus_pipeline.C, "staged", lambda df, tag: plans.append(df._jdf.queryExecution().executedPlan().toString()) or staged(df, tag))
+    item = table(spark, SF, "benchmark").first().text
+    docs = spark.createDataFrame([(1, f"x {item} y"), (2, "x y"), (None, item)], "doc_id long, text string").selectExpr("*", "'a' as lang", "'b' as source", "1L as n_chars")
+    assert sorted(r.doc_id or 0 for r in corpus_pipeline.stage_benchmark(spark, docs, SF).collect()) == [0, 2]
+    assert plans and not any(x in p for p in plans for x in ("Python", "Pandas", "Arrow"))
